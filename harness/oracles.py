@@ -343,7 +343,7 @@ _QUERIES = {
     ),
     "column_json_schema": (
         "select 'OBJECT<' || key || ': BIGINT>' as json_schema from (select s, "
-        "unnest(json_keys(s)) as key from (select json_group_structure(props) as s from events)) "
+        "unnest(json_keys(s)) as key from (select json_group_structure(cast(props as json)) as s from events)) "
         "where (s ->> key) in ('UBIGINT', 'BIGINT')"
     ),
     "html_payloads": (

@@ -73,6 +73,13 @@ def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.member_place_recommend(top_places, answers, inputs.places(spark, sf_dir))
 
 
+def _recommendation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recommendation mart as its readers find it, on disk and partitioned by day."""
+    mart = scratch.new_folder(spark, "mart")
+    sinks.replace_partitions(_recommendations(spark, sf_dir), mart, schemas.DAY_PARTITION)
+    return marts.read_mart(spark, mart, schemas.RECOMMENDATION)
+
+
 def _json_folder(spark: SparkSession, sf_dir: str) -> str:
     """The raw logs as JSON files in one folder per day, as the collector leaves them."""
     folder = scratch.new_folder(spark, "json")
@@ -247,7 +254,7 @@ def latest_recommendation_per_member(spark, sf_dir):
 @query
 def recommendations_for_members(spark, sf_dir):
     return serving.recommendations_for_members(
-        _recommendations(spark, sf_dir),
+        _recommendation_mart(spark, sf_dir),
         inputs.members(spark, sf_dir),
         inputs.places(spark, sf_dir),
         inputs.place_images(spark, sf_dir),
@@ -256,25 +263,25 @@ def recommendations_for_members(spark, sf_dir):
 
 @query
 def recommendations_of_one_member(spark, sf_dir):
-    mine = filters.of_member(_recommendations(spark, sf_dir), 7)
+    mine = filters.of_member(_recommendation_mart(spark, sf_dir), 7)
     return serving.recommended_places(mine, inputs.places(spark, sf_dir))
 
 
 @query
 def most_recommended(spark, sf_dir):
-    return serving.most_recommended(_recommendations(spark, sf_dir))
+    return serving.most_recommended(_recommendation_mart(spark, sf_dir))
 
 
 @query
 def popular_fallback(spark, sf_dir):
     return serving.popular_fallback(
-        _recommendations(spark, sf_dir), inputs.members(spark, sf_dir)
+        _recommendation_mart(spark, sf_dir), inputs.members(spark, sf_dir)
     )
 
 
 @query
 def recommendation_coverage(spark, sf_dir):
-    return serving.recommendation_coverage(_recommendations(spark, sf_dir))
+    return serving.recommendation_coverage(_recommendation_mart(spark, sf_dir))
 
 
 @query
@@ -447,7 +454,7 @@ def partition_replace(spark, sf_dir):
 @query
 def recommendation_mart_replace(spark, sf_dir):
     mart = scratch.new_folder(spark, "mart")
-    rows = scratch.materialise(_recommendations(spark, sf_dir))
+    rows = _recommendation_mart(spark, sf_dir)
     sinks.replace_partitions(rows, mart, schemas.DAY_PARTITION)
     again = marts.in_period(rows, LAST_DAY, schemas.EXPORT_DAYS)
     sinks.replace_partitions(again, mart, schemas.DAY_PARTITION)

@@ -17,16 +17,14 @@ def strip_query(url: Column) -> Column:
     return F.regexp_replace(url, r"(?s)[?#].*", "")
 
 
-def url_part(path: Column, empty_path: str | None = "_") -> Column:
+def url_part(path: Column, name_empty: bool = True) -> Column:
     """Route name of a path: a trailing numeric id is cut off and ``/`` becomes ``_``.
 
-    An empty path would turn into the NULL partition on write, so it is named ``empty_path``;
-    pass None to leave it empty.
+    An empty path would turn into the NULL partition on write, so it is named ``_`` as well,
+    unless ``name_empty`` is off.
     """
-    route = F.translate(F.regexp_replace(path, _TRAILING_ID, "/"), "/", "_")
-    if empty_path is None:
-        return route
-    return F.when(route == "", F.lit(empty_path)).otherwise(route)
+    cut = rf"\A\z|{_TRAILING_ID}" if name_empty else _TRAILING_ID
+    return F.translate(F.regexp_replace(path, cut, "/"), "/", "_")
 
 
 def path_id(path: Column) -> Column:

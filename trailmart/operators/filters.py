@@ -43,4 +43,4 @@ def of_member(df: DataFrame, member: str | int) -> DataFrame:
 
 def of_members(df: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of any member of a ``memberId`` frame."""
-    return df.join(members.select("memberId"), "memberId", "left_semi")
+    return df.join(members.select("memberId").distinct(), "memberId", "left_semi")

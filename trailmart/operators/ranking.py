@@ -54,20 +54,21 @@ def number_within(
     ``spread_by`` value, the usual case, is numbered in plain ``order``. Only keys with several
     parts appear on the small side of the join.
     """
-    split = df.withColumn("_part", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)))
-    parts = split.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_of")).agg(
-        F.count("*").alias("_rows")
+    # As a struct the key is never NULL, so a NULL key groups and joins like any other.
+    place = ["_key", "_part"]
+    split = df.withColumns(
+        {"_key": F.struct(key), "_part": F.pmod(F.xxhash64(*spread_by), F.lit(buckets))}
     )
-    before = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        parts.withColumn("_start", F.sum("_rows").over(before))
+        split.groupBy(*place)
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_start", F.sum("_rows").over(before))
         .filter(F.col("_start") > 0)
-        .select("_key", "_of", "_start")
-    )
-    inside = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order))
-    numbered = split.withColumn("_inside", inside).join(
-        starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")), "left"
+        .drop("_rows")
     )
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
+    numbered = split.withColumn("_inside", inside).join(starts, place, "left")
     return numbered.withColumn(
         name, F.col("_inside") + F.coalesce(F.col("_start"), F.lit(0))
-    ).drop("_part", "_inside", "_key", "_of", "_start")
+    ).drop(*place, "_inside", "_start")

@@ -17,7 +17,7 @@ def cleanse_logs(
     utc_offset_hours: int = 0,
     strip_https: bool = False,
     drop_query: bool = False,
-    empty_path: str | None = "_",
+    name_empty: bool = True,
 ) -> DataFrame:
     """Raw logs with origin-free url, url_part, pathParam, cre_dtm and etl_dtm; no shuffle.
 
@@ -33,7 +33,7 @@ def cleanse_logs(
     routed = urls.strip_query(F.col("url")) if drop_query else F.col("url")
     return named.withColumns(
         {
-            "url_part": urls.url_part(routed, empty_path),
+            "url_part": urls.url_part(routed, name_empty),
             "pathParam": urls.path_id(routed),
             "cre_dtm": times.log_date(F.col("requestTime")),
             "etl_dtm": times.run_timestamp(run_ts),

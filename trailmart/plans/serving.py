@@ -55,7 +55,7 @@ def popular_fallback(
     The short top list reaches the members as one scalar subquery, so nothing is cross-joined.
     """
     without = members.select("memberId").distinct().join(
-        recommendations.select("memberId"), "memberId", "left_anti"
+        recommendations.select("memberId").distinct(), "memberId", "left_anti"
     )
     top = most_recommended(recommendations, n).agg(F.collect_list(F.struct("cid", "count")))
     return without.select("memberId", F.inline(top.scalar()).alias("cid", "count"))

@@ -34,6 +34,7 @@ def upsert(
     The mart is never overwritten from a plan that reads it: new rows and the merged result are
     first written under ``staging`` (by default beside the mart; each run reuses the folder), and
     the mart is replaced from there. If the last step is lost, the merged rows are still there.
+    Staged tables are not partitioned, so rows are arranged by folder only once, for the mart.
 
     When the keys include the first partition column, a row can only meet rows of its own
     partition value. Then only the values present in ``new`` are read and replaced, however large
@@ -42,7 +43,7 @@ def upsert(
     """
     staging = (staging or path.rstrip("/") + "_staging").rstrip("/")
     first = partitions[0]
-    sinks.overwrite_partitions(new, f"{staging}/new", partitions)
+    sinks.overwrite(new, f"{staging}/new")
     staged = sources.parquet_or_empty(spark, f"{staging}/new", new.schema)
     old = sources.parquet_or_empty(spark, path, new.schema)
     local = first in keys
@@ -55,7 +56,7 @@ def upsert(
             touched = touched | F.col(first).isNull()
         old = old.filter(touched)
     merged = merge_latest(old, staged, keys, order_col)
-    sinks.overwrite_partitions(merged, f"{staging}/merged", partitions)
+    sinks.overwrite(merged, f"{staging}/merged")
     ready = sources.parquet_or_empty(spark, f"{staging}/merged", new.schema)
     if local:
         sinks.replace_partitions(ready, path, partitions)
