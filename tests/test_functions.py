@@ -154,7 +154,7 @@ def test_json_in_text(spark):
     assert one_column(spark, values, text.json_object) == [
         "{a {b} c}", None, '{"a":\n1}', None, None,
     ]
-    assert one_column(spark, values, lambda c: text.json_object(c, across_lines=False)) == [
+    assert one_column(spark, values, text.json_object_of_line) == [
         "{a {b} c}", "", "", "", None,
     ]
 

@@ -9,15 +9,16 @@ def unescape_newlines(text: Column) -> Column:
     return F.replace(text, F.lit("\\n"), F.lit("\n"))
 
 
-def json_object(text: Column, across_lines: bool = True) -> Column:
-    """Text from the first ``{`` to the last ``}``, NULL when there is none.
-
-    ``across_lines=False`` is the older behaviour: an object has to sit on one line, and text
-    without one gives an empty string.
-    """
-    if not across_lines:
-        return F.regexp_extract(text, r"\{.*\}", 0)
-    return F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
+def json_object(text: Column) -> Column:
+    """Text from the first ``{`` to the last ``}``, over any number of lines; NULL without one."""
+    first = F.instr(text, "{")
+    last = F.length(text) - F.length(F.substring_index(text, "}", -1))
+    return F.when((first > 0) & (last >= first), F.substring(text, first, last - first + 1))
+
+
+def json_object_of_line(text: Column) -> Column:
+    """The older extraction: an object on a single line, an empty string without one."""
+    return F.regexp_extract(text, r"\{.*\}", 0)
 
 
 def is_payload(text: Column) -> Column:

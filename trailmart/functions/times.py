@@ -5,9 +5,9 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date, time and a fraction of at least one digit; whatever follows six fraction digits is cut.
+# Date and time, then a fraction of at least one digit; what follows six digits is cut.
 _ISO_WITH_FRACTION = (
-    r"\A(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.(?:[0-9]{6}|[0-9]{1,5}\z))"
+    r"\A(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})\.([0-9]{6}|[0-9]{1,5}\z)"
 )
 
 
@@ -29,12 +29,11 @@ def shift_iso(text: Column, hours: int) -> Column:
     The fraction is cut to microseconds and left out when it is zero. All arithmetic is on
     zone-less timestamps, so the session time zone plays no part.
     """
-    parsed = F.nullif(F.regexp_extract(text, _ISO_WITH_FRACTION, 1), F.lit(""))
-    shifted = (
-        parsed.try_cast("timestamp_ntz") + F.expr(f"INTERVAL '{int(hours)}' HOUR")
-    ).cast("string")
-    seconds = F.replace(F.substring(shifted, 1, 19), F.lit(" "), F.lit("T"))
-    fraction = F.substring(shifted, 21, 6)
-    return F.when(fraction == "", seconds).otherwise(
-        F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0"))
+    seconds = F.regexp_extract(text, _ISO_WITH_FRACTION, 1).try_cast("timestamp_ntz")
+    shifted = (seconds + F.expr(f"INTERVAL '{int(hours)}' HOUR")).cast("string")
+    # Whole hours leave the fraction as it is.
+    fraction = F.rpad(F.regexp_extract(text, _ISO_WITH_FRACTION, 2), 6, "0")
+    return F.concat(
+        F.replace(shifted, F.lit(" "), F.lit("T")),
+        F.replace(F.concat(F.lit("."), fraction), F.lit(".000000"), F.lit("")),
     )

@@ -3,10 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A last path segment made of ASCII digits only, with any slashes behind it.
-_TRAILING_ID = r"(^|/)([0-9]+)/*\z"
-
-
 def strip_origin(url: Column, https: bool = False) -> Column:
     """Remove ``http://host`` from the front; ``https`` origins only when asked to."""
     return F.regexp_replace(url, r"^https?://[^/]+" if https else r"^http://[^/]+", "")
@@ -21,12 +17,15 @@ def url_part(path: Column, name_empty: bool = True) -> Column:
     """Route name of a path: a trailing numeric id is cut off and ``/`` becomes ``_``.
 
     An empty path would turn into the NULL partition on write, so it is named ``_`` as well,
-    unless ``name_empty`` is off.
+    unless ``name_empty`` is off. One replacement does it all: a filter on a computed route is
+    pushed below the projection and evaluates every mention of ``path`` again.
     """
-    cut = rf"\A\z|{_TRAILING_ID}" if name_empty else _TRAILING_ID
-    return F.translate(F.regexp_replace(path, cut, "/"), "/", "_")
+    trailing_id = r"(?:^|/)[0-9]+/*\z"
+    cut = rf"\A\z|{trailing_id}" if name_empty else trailing_id
+    return F.replace(F.regexp_replace(path, cut, "/"), F.lit("/"), F.lit("_"))
 
 
 def path_id(path: Column) -> Column:
     """The trailing numeric id of a path as text, NULL when there is none."""
-    return F.nullif(F.regexp_extract(path, _TRAILING_ID, 2), F.lit(""))
+    segment = F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
+    return F.when(segment.rlike(r"\A[0-9]+\z"), segment)

@@ -100,15 +100,21 @@ def salvage_json(
     exclude: str = "/admin",
     across_lines: bool = True,
 ) -> DataFrame:
-    """The JSON text inside raw log lines, in ``json_str``.
+    """The JSON text inside raw log lines, in ``json_str``, with escaped line breaks decoded.
 
-    Escaped line breaks are decoded, lines that mention ``exclude`` go, and so do lines without
-    an object or with an HTML page in its place.
+    Lines that mention ``exclude`` go, and so do lines without an object, HTML pages among them.
+    Choosing lines and cutting the object happen before decoding: neither depends on it, and
+    only what is kept has to be rewritten. ``across_lines=False`` looks for the object in each
+    decoded line and gives an empty string where there is none.
     """
-    decoded = lines.select(text.unescape_newlines(F.col(column)).alias("cleaned_value"))
-    wanted = filters.without_text(decoded, "cleaned_value", exclude)
-    found = wanted.select(text.json_object(F.col("cleaned_value"), across_lines).alias("json_str"))
-    return found.filter(text.is_payload(F.col("json_str")))
+    wanted = filters.without_text(lines, column, exclude)
+    if across_lines:
+        found = text.json_object(F.col(column))
+        return wanted.filter(found.isNotNull()).select(
+            text.unescape_newlines(found).alias("json_str")
+        )
+    decoded = text.unescape_newlines(F.col(column))
+    return wanted.select(text.json_object_of_line(decoded).alias("json_str"))
 
 
 def parse_salvaged(found: DataFrame) -> DataFrame:
