@@ -222,7 +222,7 @@ def test_score_members_asks_each_pair_once(spark, folder):
         return [{f"{place}-{n}": 1.0 - n / 10 for n in range(top_k)}]
 
     pairs = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "a"), ("3", "b")], "memberId string, ml_mapping_id string")
-    answers = scores.score_members(pairs, scorer, top_k=2, partitions=3)
+    answers = scores.score_members(pairs, scorer, partitions=3, top_k=2)
     rows = tuples(scores.explode_scores(answers))
     assert rows == [
         (m, p, f"{p}-{n}", 1.0 - n / 10) for m, p in [("1", "a"), ("2", "a"), ("3", "b")] for n in (0, 1)
@@ -256,7 +256,7 @@ def test_score_members_bounds_open_calls(spark, folder):
 
 def test_fixed_scorer_and_explode(spark):
     pairs = spark.createDataFrame([("1", "a")], "memberId string, ml_mapping_id string")
-    answers = scores.score_members(pairs, scores.fixed_scorer([{"x": 0.5}, {"y": 0.25, "z": 0.1}]))
+    answers = scores.score_members(pairs, scores.fixed_scorer([{"x": 0.5}, {"y": 0.25, "z": 0.1}]), 2)
     assert tuples(scores.explode_scores(answers)) == [
         ("1", "a", "x", 0.5), ("1", "a", "y", 0.25), ("1", "a", "z", 0.1),
     ]

@@ -187,7 +187,7 @@ def test_recommendations_end_to_end(spark, folder):
     top = recommend.member_top_place(
         recommend.member_place_counts(cleansed(spark, *logs), dimension), RUN
     )
-    answers = scores.score_members(top, scores.fixed_scorer([{"X": 0.5, "?": 0.9}, {"B": 0.5}]))
+    answers = scores.score_members(top, scores.fixed_scorer([{"X": 0.5, "?": 0.9}, {"B": 0.5}]), 4)
     rows = recommend.member_place_recommend(top, answers, dimension)
     assert rows.columns == ["cid", "memberId", "score", "traceId", "etl_dtm", "cre_dtm", "name"]
     want = [("?", 0.9, 1, None), ("B", 0.5, 2, "b"), ("X", 0.5, 3, "x")]
@@ -201,7 +201,7 @@ def test_members_sharing_a_trace_get_unique_ids(spark):
         [(f"m{n}", "A", 1, None if n % 2 else "same", RUN, "2024-01-01", 1) for n in range(60)],
         "memberId string, ml_mapping_id string, counts bigint, traceId string, etl_dtm string, cre_dtm string, id bigint",
     ).withColumns({"etl_dtm": F.col("etl_dtm").cast("timestamp"), "cre_dtm": F.to_date("cre_dtm")})
-    answers = scores.score_members(top, scores.fixed_scorer([{"X": 0.5, "Y": 0.9}]))
+    answers = scores.score_members(top, scores.fixed_scorer([{"X": 0.5, "Y": 0.9}]), 4)
     rows = recommend.member_place_recommend(top, answers, places(spark)).collect()
     ids = defaultdict(list)
     for r in rows:

@@ -20,20 +20,20 @@ Scorer = Callable[[str, str, int], list[dict[str, float]]]
 def score_members(
     pairs: DataFrame,
     scorer: Scorer,
+    partitions: int,
     top_k: int = schemas.TOP_K,
-    partitions: int | None = None,
     max_in_flight: int = 5,
 ) -> DataFrame:
     """Ask ``scorer(memberId, ml_mapping_id, top_k)`` once for every distinct pair, on executors.
 
-    At most ``partitions`` x ``max_in_flight`` calls are open at a time; set ``partitions`` to
-    what the model server bears. Pairs are spread by hash and answers leave batch by batch, so a
-    task holds one Arrow batch. A lost task asks again for its own pairs, so the scorer has to be
-    repeatable; materialise the result when it feeds more than one consumer.
+    At most ``partitions`` x ``max_in_flight`` calls are open at a time, so choose ``partitions``
+    by what the model server bears; adaptive execution does not change the number. Pairs are
+    spread by hash and answers leave batch by batch, so a task holds one Arrow batch. A lost task
+    asks again for its own pairs, so the scorer has to be repeatable; materialise the result when
+    it feeds more than one consumer.
     """
     keys = ["memberId", "ml_mapping_id"]
-    distinct = pairs.select(*keys).distinct()
-    spread = distinct.repartition(partitions, *keys) if partitions else distinct
+    spread = pairs.select(*keys).distinct().repartition(partitions, *keys)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from concurrent.futures import ThreadPoolExecutor
