@@ -337,7 +337,8 @@ _QUERIES = {
     "partition_replace": _UPSERTED,
     "recommendation_mart_replace": "select * from recommendations",
     "schema_json": (
-        "select key as name, case (s ->> key) when 'VARCHAR' then 'string' else 'long' end as type "
+        "select key as name, "
+        "case (s ->> key) when 'VARCHAR' then 'string' else 'long' end as type "
         "from (select s, unnest(json_keys(s)) as key from (select json_group_structure("
         "to_json(l)) as s from logs l)) where (s ->> key) <> 'NULL'"
     ),

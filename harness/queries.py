@@ -467,9 +467,9 @@ def recommendation_mart_replace(spark, sf_dir):
 def schema_json(spark, sf_dir):
     folder = _json_folder(spark, sf_dir)
     found = files.json_schema(spark, f"{folder}/day=*/*.json")
-    fields = F.explode(F.from_json("schema_json", "fields array<struct<name: string, type: string>>")["fields"])
     frame = spark.createDataFrame([(found,)], "schema_json string")
-    return frame.select(fields.alias("field")).select("field.name", "field.type")
+    parsed = F.from_json("schema_json", "fields array<struct<name: string, type: string>>")
+    return frame.select(F.inline(parsed.getField("fields")))
 
 
 @query

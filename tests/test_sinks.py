@@ -65,6 +65,7 @@ def test_upsert_that_moves_rows_between_days(spark, folder, adaptive):
 def test_upsert_of_nothing_and_of_a_null_day(spark, folder):
     path = f"{folder}/mart"
     first = frame(spark, "2024-02-01", ("a", 1, "2024-01-01"), ("b", 2, None))
+    marts.upsert(spark, first.limit(0), path, ["k"], ["cre_dtm"])
     marts.upsert(spark, first, path, ["cre_dtm", "k"], ["cre_dtm"])
     marts.upsert(spark, first.limit(0), path, ["cre_dtm", "k"], ["cre_dtm"])
     assert stored(spark, path) == [("a", 1, "2024-01-01"), ("b", 2, "None")]
@@ -127,3 +128,36 @@ def test_unpartitioned_overwrite(spark, folder):
     for rows in ([(1,), (2,)], [(3,)]):
         sinks.overwrite(spark.createDataFrame(rows, "v int"), f"{folder}/p")
     assert [r.v for r in spark.read.parquet(f"{folder}/p").collect()] == [3]
+
+
+@pytest.mark.parametrize("keys", [["cre_dtm", "k"], ["k"]])
+def test_an_interrupted_upsert_is_finished_by_the_next(spark, folder, monkeypatch, keys):
+    path = f"{folder}/mart"
+    days = ["2024-01-01", "2024-01-02"]
+    marts.upsert(spark, frame(spark, "2024-02-01", *[(d, 1, d) for d in days]), path, keys, ["cre_dtm"])
+
+    def stop(merged, target, *rest):
+        for file in Path(target, "cre_dtm=2024-01-01").iterdir():
+            file.unlink()
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(marts, "_replace", stop)
+        with pytest.raises(KeyboardInterrupt):
+            marts.upsert(spark, frame(spark, "2024-02-02", ("new", 2, "2024-01-01")), path, keys, ["cre_dtm"])
+    assert ("2024-01-01", 1, "2024-01-01") not in stored(spark, path)
+    marts.upsert(spark, frame(spark, "2024-02-03", ("late", 3, "2024-01-02")), path, keys, ["cre_dtm"])
+    assert stored(spark, path) == [
+        ("2024-01-01", 1, "2024-01-01"), ("2024-01-02", 1, "2024-01-02"),
+        ("late", 3, "2024-01-02"), ("new", 2, "2024-01-01"),
+    ]
+    assert not marts.resume(spark, path, ["cre_dtm"], f"{path}_staging")
+
+
+def test_columns_only_the_mart_has_are_kept(spark, folder):
+    path = f"{folder}/mart"
+    first = frame(spark, "2024-02-01", ("a", 1, "2024-01-01")).withColumn("note", F.lit("x"))
+    marts.upsert(spark, first, path, ["cre_dtm", "k"], ["cre_dtm"])
+    marts.upsert(spark, frame(spark, "2024-02-02", ("b", 2, "2024-01-01")), path, ["cre_dtm", "k"], ["cre_dtm"])
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r.k, r.v, r.note) for r in rows) == [("a", 1, "x"), ("b", 2, None)]

@@ -63,7 +63,7 @@ def similar_places(
     seeds: DataFrame,
     items: DataFrame,
     top_k: int = schemas.TOP_K,
-    block_rows: int = 8192,
+    block_rows: int = 4096,
     item_count: int | None = None,
 ) -> DataFrame:
     """The ``top_k`` items closest to each seed by cosine, exact: (ml_mapping_id, cid, score).
@@ -102,39 +102,36 @@ def similar_places(
     slab = 256
 
     def best_of_block(seed_rows: pd.DataFrame, item_rows: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"ml_mapping_id": [], "cid": [], "score": []}).astype(
-            {"ml_mapping_id": object, "cid": object, "score": float}
-        )
         if seed_rows.empty or item_rows.empty:
-            return empty
-        cids = item_rows["cid"].to_numpy(dtype=str)
-        vectors = np.stack(item_rows["embedding"].to_numpy()).astype(np.float64)
-        norms = np.linalg.norm(vectors, axis=1)
-        seed_ids = seed_rows["seed"].to_numpy(dtype=str)
-        out = [empty]
-        for start in range(0, len(seed_ids), slab):
-            ids = seed_ids[start : start + slab]
-            block = seed_rows["direction"].to_numpy()[start : start + slab]
-            queries = np.stack(block).astype(np.float64)
-            lengths = np.outer(np.linalg.norm(queries, axis=1), norms)
+            return pd.DataFrame({"ml_mapping_id": [], "cid": [], "score": []}, dtype=object)
+        # Items in cid order, so that a smaller position is a smaller cid.
+        item_rows = item_rows.sort_values("cid")
+        cids = item_rows["cid"].to_numpy()
+        b = np.stack(item_rows["embedding"].to_numpy()).astype(np.float64)
+        b_length = np.linalg.norm(b, axis=1)
+        found = {"ml_mapping_id": [], "cid": [], "score": []}
+        for start in range(0, len(seed_rows), slab):
+            part = seed_rows.iloc[start : start + slab]
+            seeds = part["seed"].to_numpy()
+            a = np.stack(part["direction"].to_numpy()).astype(np.float64)
+            lengths = np.outer(np.linalg.norm(a, axis=1), b_length)
             # A zero vector has no direction and a place is not its own neighbour.
-            usable = (lengths > 0) & (ids[:, None] != cids[None, :])
-            products = queries @ vectors.T
-            scores = np.full(products.shape, -np.inf)
-            np.divide(products, lengths, out=scores, where=usable)
-            scores = np.round(scores, 9)
-            for row, seed in enumerate(ids):
-                mine = scores[row]
-                near = np.arange(len(mine))
-                if len(mine) > top_k:
-                    edge = np.partition(mine, len(mine) - top_k)[len(mine) - top_k]
-                    near = np.flatnonzero(mine >= edge)
-                near = near[np.isfinite(mine[near])]
-                near = near[np.lexsort((cids[near], -mine[near]))][:top_k]
-                out.append(
-                    pd.DataFrame({"ml_mapping_id": seed, "cid": cids[near], "score": mine[near]})
-                )
-        return pd.concat([part for part in out if len(part)] or [empty], ignore_index=True)
+            usable = (lengths > 0) & (seeds[:, None] != cids[None, :])
+            cosines = np.full(lengths.shape, -np.inf)
+            np.divide(a @ b.T, lengths, out=cosines, where=usable)
+            cosines = np.round(cosines, 9)
+            keep = min(top_k, len(cids))
+            edge = np.partition(cosines, -keep, axis=1)[:, -keep, None]
+            row, item = np.nonzero((cosines >= edge) & np.isfinite(cosines))
+            order = np.lexsort((item, -cosines[row, item], row))
+            row, item = row[order], item[order]
+            # Ties at the edge may leave more than top_k of a seed.
+            best = np.arange(len(row)) - np.searchsorted(row, row) < top_k
+            row, item = row[best], item[best]
+            found["ml_mapping_id"].append(seeds[row])
+            found["cid"].append(cids[item])
+            found["score"].append(cosines[row, item])
+        return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
 
     keys = ["seed_block", "item_block"]
     best = (

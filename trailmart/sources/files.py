@@ -12,11 +12,11 @@ Paths = str | list[str]
 
 
 def or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What ``read`` gives, or None when its path is not there."""
+    """What ``read`` gives, or None when its path is not there or holds no file to learn from."""
     try:
         return read()
     except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
