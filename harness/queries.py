@@ -343,7 +343,9 @@ def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     lines = requests.unionByName(documents)
-    return lines.select(F.concat(F.lit("INFO "), "value", F.lit(" end")).alias("value"))
+    folder = scratch.new_folder(spark, "lines")
+    lines.select(F.concat(F.lit("INFO "), "value", F.lit(" end")).alias("value")).write.text(folder)
+    return files.text_lines(spark, folder)
 
 
 @query
