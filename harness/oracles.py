@@ -336,6 +336,9 @@ _QUERIES = {
     "place_csv_numeric_ids": "select * from places where try_cast(id as int) is not null",
     "partition_replace": _UPSERTED,
     "recommendation_mart_replace": "select * from recommendations",
+    "recommendation_day_replace": (
+        f"select * from recommendations where cre_dtm <> '{LAST_DAY}'"
+    ),
     "schema_json": (
         "select key as name, "
         "case (s ->> key) when 'VARCHAR' then 'string' else 'long' end as type "
@@ -344,7 +347,8 @@ _QUERIES = {
     ),
     "column_json_schema": (
         "select 'OBJECT<' || key || ': BIGINT>' as json_schema from (select s, "
-        "unnest(json_keys(s)) as key from (select json_group_structure(cast(props as json)) as s from events)) "
+        "unnest(json_keys(s)) as key from (select json_group_structure(cast(props as json)) as s "
+        "from events)) "
         "where (s ->> key) in ('UBIGINT', 'BIGINT')"
     ),
     "html_payloads": (

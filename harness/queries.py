@@ -465,6 +465,16 @@ def recommendation_mart_replace(spark, sf_dir):
     return marts.read_mart(spark, mart, schemas.RECOMMENDATION)
 
 
+@query
+def recommendation_day_replace(spark, sf_dir):
+    mart = scratch.new_folder(spark, "mart")
+    rows = _recommendation_mart(spark, sf_dir)
+    sinks.replace_partitions(rows, mart, schemas.DAY_PARTITION)
+    sinks.replace_day(rows, mart, "2024-01-15")
+    sinks.replace_day(rows.filter("cid is null"), mart, LAST_DAY)
+    return marts.read_mart(spark, mart, schemas.RECOMMENDATION)
+
+
 @query
 def schema_json(spark, sf_dir):
     folder = _json_folder(spark, sf_dir)

@@ -209,6 +209,20 @@ def test_members_sharing_a_trace_get_unique_ids(spark):
     assert sorted(ids[True]) == sorted(ids[False]) == list(range(1, 61))
 
 
+def test_the_same_recommendations_for_any_partitioning(spark, conf):
+    logs = [view(n, str(n % 17), n * 7 % 5, f"2024-01-0{1 + n % 3}") for n in range(300)]
+    dimension = places(spark, *[(str(i), f"p{i}", f"n{i}") for i in range(5)])
+    seen = set()
+    for parts in ("1", "7"):
+        conf("spark.sql.shuffle.partitions", parts)
+        df = cleansed(spark, *logs).repartition(int(parts))
+        top = recommend.member_top_place(recommend.member_place_counts(df, dimension), RUN)
+        answers = scores.score_members(top, scores.fixed_scorer([{"p1": 0.5, "p2": 0.5}]), 3)
+        rows = recommend.member_place_recommend(top, answers, dimension).collect()
+        seen.add(tuple(sorted(map(tuple, rows), key=str)))
+    assert len(seen) == 1
+
+
 REC = "cid string, memberId string, score double"
 
 

@@ -106,6 +106,17 @@ def test_append_keeps_and_replace_replaces(spark, folder):
     assert stored(spark, path) == [("a", 1, "2024-01-01"), ("b", 2, "2024-01-02"), ("b", 2, "2024-01-02")]
 
 
+def test_replace_day(spark, folder):
+    path = f"{folder}/m"
+    df = frame(spark, "2024-02-01", ("a", 1, "2024-01-01"), ("b", 2, "2024-01-02"))
+    sinks.append_partitions(df, path, ["cre_dtm"])
+    sinks.replace_day(df.withColumn("v", F.lit(9)), path, "2024-01-01")
+    assert stored(spark, path) == [("a", 9, "2024-01-01"), ("b", 2, "2024-01-02")]
+    # A day without new rows is emptied, as deleting it first would do.
+    sinks.replace_day(df.limit(0), path, date(2024, 1, 2))
+    assert stored(spark, path) == [("a", 9, "2024-01-01")]
+
+
 def test_too_many_folders_are_refused(spark, folder):
     df = spark.range(20).selectExpr("id", "cast(id as string) as memberId")
     with pytest.raises(ValueError, match="more than 10 folders"):

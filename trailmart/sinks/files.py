@@ -1,14 +1,11 @@
 """File writers for Parquet and CSV."""
 
-import logging
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_log = logging.getLogger(__name__)
-
-
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of each output folder together, so that tasks do not write everywhere.
 
@@ -19,7 +16,10 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def check_folder_count(df: DataFrame, columns: Sequence[str], limit: int) -> None:
-    """Refuse a layout with more than ``limit`` folders, for instance one per member id."""
+    """Refuse a layout with more than ``limit`` folders, for instance one per member id.
+
+    This computes the folder columns of ``df`` once more.
+    """
     folders = df.select(*columns).distinct().limit(limit + 1).count()
     if folders > limit:
         raise ValueError(f"partitioning by {', '.join(columns)} gives more than {limit} folders")
@@ -34,8 +34,15 @@ def append_partitions(
     by_partition(df, columns).write.mode("append").partitionBy(*columns).parquet(path)
 
 
+def replace_day(df: DataFrame, path: str, day: str | date, column: str = "cre_dtm") -> None:
+    """Replace one day of a mart by the rows ``df`` has for it, also when it has none."""
+    only = df.filter(F.col(column) == F.lit(str(day)).cast("date")).drop(column)
+    folder = f"{path.rstrip('/')}/{column}={day}"
+    only.hint("rebalance").write.mode("overwrite").parquet(folder)
+
+
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Replace exactly the folders that ``df`` has rows for, so that a day can be loaded again."""
+    """Replace exactly the folders that ``df`` has rows for, so that days can be loaded again."""
     (
         by_partition(df, columns)
         .write.mode("overwrite")
