@@ -215,3 +215,5 @@ def test_export_period(spark, mart, monkeypatch):
     assert out.count() == 4 and written == [(4, "jdbc:x", "t", "s", None)]
     assert serving.export_period(spark, mart, "2024-01-31", "jdbc:x", "t", min_day="2024-02-01") is None
     assert len(written) == 1
+    serving.export_mart(spark, mart, "v int, cre_dtm date", "jdbc:x", "all", "s", {"user": "u"})
+    assert written[1] == (4, "jdbc:x", "all", "s", {"user": "u"})

@@ -80,7 +80,10 @@ def load_aggregate(
     keys: Sequence[str],
     staging: str | None = None,
 ) -> DataFrame:
-    """Upsert daily counts into their mart; the returned rows can go to a database as well."""
+    """Upsert daily counts into their mart; returns the rows of this run.
+
+    ``serving.export_mart`` copies the merged mart to a database table.
+    """
     return marts.upsert(spark, counts, path, keys, schemas.DAY_PARTITION, staging)
 
 

@@ -66,6 +66,21 @@ def recommendation_coverage(recommendations: DataFrame) -> DataFrame:
     return recommendations.na.drop().groupBy("memberId").agg(F.count("*").alias("count"))
 
 
+def export_mart(
+    spark: SparkSession,
+    mart_path: str,
+    mart_schema: str,
+    url: str,
+    table: str,
+    schema: str | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Replace a database table by a whole mart, as it is after its upsert."""
+    mart = marts.read_mart(spark, mart_path, mart_schema)
+    jdbc_sink.write_table(mart, url, table, schema, properties)
+    return mart
+
+
 def export_period(
     spark: SparkSession,
     mart_path: str,

@@ -58,6 +58,7 @@ def read_period(
     days: int,
     column: str = "cre_dtm",
     require_all_days: bool = False,
+    schema: str | None = None,
 ) -> DataFrame:
     """A period of a mart in one scan; days without a folder are skipped unless required."""
     if require_all_days:
@@ -70,7 +71,7 @@ def read_period(
         ]
         if missing:
             raise FileNotFoundError(f"{root} has no {column} for {', '.join(missing)}")
-    return in_period(read_mart(spark, path), end_day, days, column)
+    return in_period(read_mart(spark, path, schema), end_day, days, column)
 
 
 def query_frame(spark: SparkSession, df: DataFrame, query: str, name: str = "df") -> DataFrame:
