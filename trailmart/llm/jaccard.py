@@ -38,6 +38,8 @@ GROUP_ROWS = 64
 #: Text bytes to a bucket of tokens, and comparisons to a task's group.
 BUCKET_BYTES = 8 << 20
 COMPARISONS = 512
+#: Bits of the map of row keys: 8 MB.
+KEY_BITS = 1 << 26
 
 _U32 = np.uint64(0xFFFFFFFF)
 
@@ -189,22 +191,47 @@ def _shared(table: pa.Table) -> pa.Table:
 _SHARED = pa.schema([(c, pa.int64()) for c in ("row_key", "print", "n", "shared")])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(print, text) to (print, n, tokens); texts that only share the row key are left out."""
-    for batch in batches:
-        wanted = batch.column(0).to_numpy(zero_copy_only=False)
-        out = []
-        for at, own in words.shingle_sets(batch.column(1)):
-            if set_print(own) == wanted[at]:
-                out.append((int(wanted[at]), len(own), own.tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([x[0] for x in out], pa.int64()),
-                pa.array([x[1] for x in out], pa.int64()),
-                pa.array([x[2] for x in out], pa.binary()),
-            ],
-            ["print", "n", "tokens"],
+def _sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(print, n, tokens) of the wanted classes, from rows (row_key, text).
+
+    While the wanted rows are few, a bitmap of their keys goes to the tasks, so that other texts
+    are not shuffled; its size is fixed. Beyond, the texts are joined by key.
+    """
+    few = wanted.count() <= KEY_BITS // 16
+    if few:
+        bit = F.pmod(F.col("row_key"), F.lit(KEY_BITS))
+        maps = wanted.groupBy((bit / 32768).cast("int").alias("k")).agg(
+            F.bitmap_construct_agg(bit % 32768).alias("bits")
         )
+        known = np.zeros(KEY_BITS // 8, np.uint8)
+        for row in maps.collect():
+            own = np.frombuffer(row["bits"], np.uint8)
+            known[row["k"] * 4096 : row["k"] * 4096 + len(own)] = own
+        shared = rows.sparkSession.sparkContext.broadcast(known)
+    else:
+        rows = rows.join(wanted.select("row_key"), "row_key", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if few:
+                at = batch.column(0).to_numpy() % KEY_BITS
+                hit = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+                batch = batch.filter(pa.array(hit.astype(bool)))
+            keys = batch.column(0).to_numpy()
+            out = [
+                (int(keys[at]), set_print(own), len(own), own.tobytes())
+                for at, own in words.shingle_sets(batch.column(1))
+            ]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
+                ["row_key", "print", "n", "tokens"],
+            )
+
+    made = rows.mapInArrow(run, "row_key long, print long, n long, tokens binary")
+    return made.join(wanted, ["row_key", "print"], "left_semi").select(
+        "print", "n", "tokens"
+    ).dropDuplicates(["print"])
 
 
 def _deal_sets(bits: int):
@@ -242,16 +269,17 @@ def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = n - alone
         if WHOLE * shared >= SHARE * n:
             keep = ranks[alone : n - -(-SHARE * n // WHOLE) + 1]
-            return name, n, shared, (keep & np.uint64((1 << 41) - 1)).astype(np.int64)
+            return name, n, alone, (keep & np.uint64((1 << 41) - 1)).astype(np.int64)
         return None
 
     def pack(rows):
-        sizes = [len(r[3]) for r in rows]
+        sizes = np.array([len(r[3]) for r in rows], np.int64)
         at = lambda k: np.repeat(np.array([r[k] for r in rows], np.int64), sizes)
         tokens = np.concatenate([r[3] for r in rows]) if rows else np.zeros(0, np.int64)
+        rank = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = at(1) - at(2) - rank
         return pa.RecordBatch.from_arrays(
-            [pa.array(tokens), *(pa.array(at(k)) for k in range(3))],
-            ["token", "print", "n", "shared"],
+            [pa.array(x) for x in (tokens, at(0), at(1), left)], ["token", "print", "n", "left"]
         )
 
     name, parts, rows, waiting = None, [], [], 0
@@ -347,9 +375,13 @@ def _compare(sets: DataFrame, members: DataFrame, queries: DataFrame) -> DataFra
     )
 
 
-def _enough(n: str, shared: str, other_n: str, other_shared: str) -> Column:
-    """Whether shared tokens alone allow similarity 3/4: overlap >= 3/7 of both sizes."""
-    most = F.least(F.col(shared), F.col(other_shared))
+def _enough(n: str, left: str, other_n: str, other_left: str) -> Column:
+    """Whether two classes can be linked if this is the rarest token that they share.
+
+    ``left`` counts the tokens of a class from this one on, so the smaller bounds the overlap,
+    which has to be 3/7 of both sizes.
+    """
+    most = F.least(F.col(left), F.col(other_left))
     return (SHARE + WHOLE) * most >= SHARE * (F.col(n) + F.col(other_n))
 
 
@@ -380,10 +412,7 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
     # 2: the sets of what is left, rarest tokens first.
-    texts = docs.select(row_key, "text").join(left, "row_key").select("print", "text")
-    sets = scratch.materialise(
-        texts.mapInArrow(_sets, "print long, n long, tokens binary").dropDuplicates(["print"])
-    )
+    sets = scratch.materialise(_sets_of(docs.select(row_key, "text"), left))
     tokens = sets.agg(F.sum("n")).first()[0] or 0
     bits = max(3, (tokens // 1_000_000).bit_length())
     ranks = (
@@ -394,20 +423,20 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rare = scratch.materialise(
         ranks.repartition("print")
         .sortWithinPartitions("print")
-        .mapInArrow(_rarest, "token long, print long, n long, shared long")
+        .mapInArrow(_rarest, "token long, print long, n long, left long")
     )
     typical = rare.groupBy("token").agg(
-        F.max(F.struct(F.col("shared") / F.col("n"), "n", "print", "shared")).alias("hub"),
+        F.max(F.struct(F.col("left") / F.col("n"), "n", "print", "left")).alias("hub"),
         F.count("*").alias("classes"),
     )
     typical = typical.where("classes > 1").select(
         "token", F.col("hub.print").alias("group"), F.col("hub.n").alias("hn"),
-        F.col("hub.shared").alias("hs"),
+        F.col("hub.left").alias("hl"),
     )
     pairs = scratch.materialise(
         rare.join(typical, "token")
         .where(F.col("print") != F.col("group"))
-        .where(_enough("n", "shared", "hn", "hs"))
+        .where(_enough("n", "left", "hn", "hl"))
         .select("print", "group")
         .distinct()
     )
@@ -422,20 +451,21 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         )
     )
     matrix = member.groupBy("token", "component").agg(
-        F.max("shared").alias("ms"), F.min("n").alias("mn")
+        F.max("left").alias("ml"), F.min("n").alias("mn")
     )
     crowded = matrix.groupBy("token").count().where("count > 1").select("token")
     matrix = matrix.join(crowded, "token", "left_semi").withColumnRenamed("component", "other")
+    # Of two groups, the members of the one with the smaller name ask for the other.
     meets = scratch.materialise(
         member.join(crowded, "token", "left_semi")
         .join(matrix, "token")
-        .where(F.col("component") != F.col("other"))
-        .where(_enough("n", "shared", "mn", "ms"))
-        .select("print", "n", "shared", F.col("other").alias("component"))
+        .where(F.col("component") < F.col("other"))
+        .where(_enough("n", "left", "mn", "ml"))
+        .select("print", F.col("other").alias("component"))
         .distinct()
     )
     parts = (
-        member.select("print", "n", "shared", "component")
+        member.select("print", "component")
         .distinct()
         .join(meets.select("component").distinct(), "component", "left_semi")
     )
@@ -445,16 +475,10 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "group", F.xxhash64("component", F.pmod(F.xxhash64("print"), F.col("parts")))
         )
     )
-    bounds = parts.groupBy("component", "group").agg(
-        F.max("shared").alias("ms"), F.min("n").alias("mn")
-    )
-    # Both sides of a link meet, so one of them need ask: the one with the smaller print, or
-    # either when groups of several members are met.
     asks = scratch.materialise(
-        meets.join(bounds, "component")
-        .where(_enough("n", "shared", "mn", "ms"))
-        .select("print", "group")
-        .distinct()
+        meets.join(parts.select("component", "group").distinct(), "component").select(
+            "print", "group"
+        )
     )
     further = _compare(sets, parts.select("print", "group"), asks)
     links = scratch.materialise(links.union(further))
