@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart import scratch
-from trailmart.llm import binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, shards
+from trailmart.llm import binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, suffix_tree
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 SHARDS = 40
+NEIGHBOURS = 10
 RULES = (
     hosts.Rule("net", "/", "block"),
     hosts.Rule("example.net", "/en/", "allow"),
@@ -57,6 +58,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector."""
+    rows = _table(spark, sf_dir, "embeddings")
+    index = neighbours.build_index(rows, "vec_id", "embedding")
+    queries = rows.where(F.pmod("vec_id", F.lit(100)) == 0)
+    return neighbours.nearest(index, queries, "vec_id", "embedding", NEIGHBOURS)
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return jaccard.shingle_classes(_table(spark, sf_dir, "documents"))
@@ -76,6 +85,12 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.token_positions(binary.read_tokens(spark, folder))
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from six folds of seven."""
+    docs = _table(spark, sf_dir, "documents")
+    return suffix_tree.score(docs, F.coalesce(_fold(7) == 2, F.lit(False)))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold."""
     docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
@@ -101,9 +116,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op2_bpe,
+        op3_graph_neighbours,
         op4_ngram_jaccard,
         op5_hash_tree,
         op6_orc_tokens,
+        op7_suffix_tree,
         op8_decontaminate,
         op9_link_trust,
         op10_token_counts,
