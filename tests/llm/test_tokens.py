@@ -1,0 +1,109 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from plain import ROWS
+from trailmart import scratch
+from trailmart.llm import binary, bpe, counts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def _ids(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_fragments_give_the_ids_of_the_library(library):
+    draw = random.Random(5)
+    signs = [
+        "'", "s", "re", "ll", " ", "  ", "\n", "\t", "\r\n", "\xa0", " ", "　", "\x85", "\x1c",
+        "\x00", "é", "日", "٣", "12", "<|endoftext|>", "<|endof", "text|>", "q", "xz", ".", "!", "́",
+        "\U0001f600", "»", "᠎", "​", "Ж", "²", "ⅷ", "_", "A", "the",
+    ]
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 14))) for _ in range(20_000)]
+    texts += [None, "", "a" * 5000, " " * 3000, "<|endof", "text|>"]
+    ours = bpe.id_lists(pa.array(texts), PATH).to_pylist()
+    assert ours == [_ids(library, t) for t in texts]
+    assert bpe.id_counts(pa.array(texts), PATH).tolist() == [len(x) for x in ours]
+
+
+def test_the_table_starts_anew_when_full(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_ROWS", 64)
+    own = bpe.Codec(PATH)
+    texts = [f"word{k} and {k}" for k in range(300)]
+    for text in texts:
+        (sizes, ids) = next(own.encode(pa.array([text]), True))
+        assert ids.tolist() == _ids(library, text)
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_decoding_any_ids(library):
+    draw = random.Random(1)
+    own = bpe.codec(PATH)
+    for _ in range(2000):
+        ids = [draw.randrange(50_257) for _ in range(draw.randint(0, 8))]
+        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    assert own.decode([-1, 1 << 30]) == ""
+
+
+def test_round_trip_of_odd_texts(odd_docs, no_docs, library):
+    ids = bpe.encode(odd_docs, ["doc_id", "label"], "text", PATH)
+    rows = bpe.decode(ids, ["doc_id", "ids"], "ids", PATH).collect()
+    assert sorted(r["text"] for r in rows) == sorted(t or "" for _, t, _ in ROWS)
+    assert all(r["ids"] == _ids(library, r["text"]) for r in rows)
+    assert bpe.encode(no_docs, ["doc_id"], "text", PATH).count() == 0
+    nothing = ids.selectExpr("cast(null as array<int>) as ids").limit(1)
+    assert bpe.decode(nothing, [], "ids", PATH).first()["text"] is None
+
+
+def test_counts_come_from_the_cache(spark, odd_docs, no_docs, library):
+    cache = counts.fresh_cache(odd_docs)
+    run = lambda df: counts.count_tokens(df, ["doc_id", "text", "digest"], "text", PATH, cache)
+    first = run(odd_docs).collect()
+    assert len(first) == len(ROWS)
+    assert all(r["n_tokens"] == len(_ids(library, r["text"])) for r in first)
+    texts = {t or "" for _, t, _ in ROWS}
+    assert spark.read.parquet(cache).count() == len(texts)
+    assert sorted(map(str, run(odd_docs).collect())) == sorted(map(str, first))
+    assert run(no_docs).count() == 0
+    assert spark.read.parquet(cache).count() == len(texts)
+    # A stored count is used and not made again.
+    digest = hashlib.sha256(b"stored").digest()
+    row = [(digest, counts.tokenizer_version(PATH), 99), (digest, counts.tokenizer_version(PATH), 99)]
+    spark.createDataFrame(row, counts.CACHE).write.mode("append").parquet(cache)
+    other = spark.createDataFrame([(1, "stored", "d")], "doc_id long, text string, digest string")
+    assert [r["n_tokens"] for r in run(other).collect()] == [99]
+
+
+def test_orc_files_hold_the_ids_in_order(spark, odd_docs, no_docs, library):
+    folder = scratch.new_folder(spark, "orc")
+    binary.write_tokens(odd_docs, folder, PATH, partitions=4)
+    stored = binary.read_tokens(spark, folder)
+    rows = sorted(binary.token_positions(stored).collect(), key=lambda r: r["start"])
+    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    at = 0
+    for row, (name, text, _) in zip(rows, order, strict=True):
+        ids = [*_ids(library, text), 0]
+        assert (row["doc_id"], row["start"], row["n_tokens"]) == (name, at, len(ids))
+        assert row["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+    plan = stored.where("doc_id = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,7)" in plan
+    empty = scratch.new_folder(spark, "orc")
+    binary.write_tokens(no_docs, empty, PATH)
+    assert binary.token_positions(binary.read_tokens(spark, empty)).count() == 0
