@@ -263,11 +263,10 @@ def _deal(shared, bits: int):
                 plain = np.add.reduceat(tree.counts[symbols], begin) - size * tree.size
                 score = np.add.reduceat(tree.two(two, one, symbols), begin)
                 known = np.add.reduceat((symbols > 0).astype(np.int64), begin)
-                spread = (words.mix(row.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int32)
                 packed = [pa.nulls(texts, pa.binary())] * 4
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(spread),
+                        pa.array(_part(row, bits)),
                         *packed,
                         pa.array(row),
                         *(c.slice(first, texts) for c in batch.columns[:2]),
@@ -326,42 +325,90 @@ def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     )
 
 
-_PARTS = (
-    "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-)
+_TEXT = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+_PARTS = "part int, rows binary, known binary, logs binary, " + _TEXT
+_ROW = [x.split()[0] for x in _TEXT.split(", ")]
+
+
+def _arrays(table: pa.Table, **kinds: type) -> list[np.ndarray]:
+    return [
+        np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()])
+        for c, kind in kinds.items()
+    ]
+
+
+def _join_counts(bits: int):
+    """Look the counts of a bucket's words up. What they add to each text goes on packed by part
+    of the texts, in which a text's own row already is."""
+
+    def run(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        packed = texts["tokens"].is_valid()
+        own = texts.filter(pa.compute.invert(packed))
+        out = pa.table(
+            {
+                "part": own["bucket"],
+                **{c: pa.nulls(len(own), pa.binary()) for c in ("rows", "known", "logs")},
+                **{c: own[c] for c in _ROW},
+            }
+        )
+        texts = texts.filter(packed)
+        if not len(texts):
+            return out
+        rows, sizes, tokens, times = _arrays(
+            texts, rows=np.int64, sizes=np.uint32, tokens=np.uint64, times=np.uint32
+        )
+        keys = vocabulary["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        at = _look_up(tokens, keys[order])
+        n = _take(vocabulary["n"].to_numpy()[order], at)
+        logs = np.where(at >= 0, np.log10(n + 1.0), 0.0) * times
+        begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        logs = np.add.reduceat(logs, begin)
+        known = np.add.reduceat(np.where(at >= 0, times, 0).astype(np.int64), begin)
+        some = known > 0
+        rows, logs, known = rows[some], logs[some], known[some].astype(np.uint32)
+        part = _part(rows, bits)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
+        bounds = np.append(first, len(part))
+        more = pa.table(
+            {
+                "part": part[first],
+                "rows": _blobs(rows[order], bounds),
+                "known": _blobs(known[order], bounds),
+                "logs": _blobs(logs[order], bounds),
+                **{f.name: pa.nulls(len(first), f.type) for f in out.schema if f.name in _ROW},
+            }
+        )
+        return pa.concat_tables([out, more.cast(out.schema)])
 
+    return run
 
-def _join_counts(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
-    """Add the counts of rare words; texts' own rows pass as they are."""
-    names = [x.split()[0] for x in _PARTS.split(", ")]
-    packed = texts["tokens"].is_valid()
-    out = texts.filter(pa.compute.invert(packed)).select(names)
-    texts = texts.filter(packed)
-    if not len(texts):
-        return out
-    join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in texts[c].to_pylist()])
-    rows, sizes = join("rows", np.int64), join("sizes", np.uint32).astype(np.int64)
-    tokens, times = join("tokens", np.uint64), join("times", np.uint32).astype(np.float64)
-    keys = vocabulary["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    at = _look_up(tokens, keys[order])
-    n = _take(vocabulary["n"].to_numpy()[order], at)
-    logs = np.where(at >= 0, np.log10(n + 1.0), 0.0) * times
-    begin = np.cumsum(sizes) - sizes
-    known = np.add.reduceat(np.where(at >= 0, times, 0), begin).astype(np.int64)
-    logs = np.add.reduceat(logs, begin)
-    more = pa.table(
-        {
-            "row": rows,
-            "id": pa.nulls(len(rows), pa.int64()),
-            "held_out": pa.nulls(len(rows), pa.bool_()),
-            "n_tokens": pa.nulls(len(rows), pa.int64()),
-            "n_known": known,
-            "base": logs,
-            "score": logs,
-        }
-    )
-    return pa.concat_tables([out, more.cast(out.schema)])
+
+def _part(rows: np.ndarray, bits: int) -> np.ndarray:
+    return (words.mix(rows.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def _whole(table: pa.Table) -> pa.Table:
+    """The rows of a part's texts with what their words add."""
+    packed = table["rows"].is_valid()
+    own = table.filter(pa.compute.invert(packed)).select(_ROW).sort_by("row")
+    table = table.filter(packed)
+    if not len(table):
+        return own
+    rows, known, logs = _arrays(table, rows=np.int64, known=np.uint32, logs=np.float64)
+    # Summed in the order of size, so that the result does not depend on how buckets arrive.
+    order = np.lexsort((logs, rows))
+    at = np.searchsorted(own["row"].to_numpy(), rows[order])
+    known = np.bincount(at, known[order], len(own)).astype(np.int64)
+    logs = np.bincount(at, logs[order], len(own))
+    changed = {
+        "n_known": own["n_known"].to_numpy() + known,
+        "base": own["base"].to_numpy() + logs,
+        "score": own["score"].to_numpy() + logs,
+    }
+    return pa.table({c: changed.get(c, own[c]) for c in _ROW})
 
 
 def score(
@@ -387,12 +434,9 @@ def score(
     parts = (
         dealt.groupBy("bucket")
         .cogroup(counts.groupBy("bucket_"))
-        .applyInArrow(_join_counts, _PARTS)
-    )
-    whole = parts.groupBy("row").agg(
-        *(F.max(c).alias(c) for c in ("id", "held_out", "n_tokens")),
-        *(F.sum(c).alias(c) for c in ("n_known", "base", "score")),
+        .applyInArrow(_join_counts(bits), _PARTS)
     )
+    whole = parts.groupBy("part").applyInArrow(_whole, _TEXT)
     return whole.select(
         F.col("id").alias(id_col),
         "held_out",
