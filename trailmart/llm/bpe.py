@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from trailmart.llm.words import mix, slices, text_buffers
 
 #: Fragments kept in a worker's table; past it, the table starts anew. Places are twice as many.
-TABLE_ROWS = 1 << 20
+TABLE_ROWS = 1 << 19
 #: Fragments up to this many bytes are looked up as two 64-bit words, longer ones as byte strings.
 SHORT = 16
 
@@ -294,7 +294,7 @@ def id_counts(column: pa.Array, path: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
-def pieces(batch: pa.RecordBatch, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch of rows whose last column is text, in parts of about ``size`` bytes of it."""
     _, offsets = text_buffers(batch.column(batch.num_columns - 1))
     for lo, hi in slices(offsets, size):

@@ -38,6 +38,8 @@ GROUP_ROWS = 64
 #: Text bytes to a bucket of tokens, and comparisons to a task's group.
 BUCKET_BYTES = 8 << 20
 COMPARISONS = 512
+#: Tokens that a task sorts into buckets at a time.
+DEAL_TOKENS = 750_000
 #: Bits of the map of row keys: 8 MB.
 KEY_BITS = 1 << 26
 
@@ -114,7 +116,7 @@ def _deal_texts(bits: int):
                 held.append(own)
                 places.append(at)
                 waiting += len(own)
-                if waiting >= 4_000_000:
+                if waiting >= DEAL_TOKENS:
                     yield _with_rows(_dealt(prints[places], held, bits))
                     held, places, waiting = [], [], 0
             if waiting:
@@ -236,9 +238,10 @@ def _sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _deal_sets(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
-            if sets:
+        for whole in batches:
+            for lo in range(0, len(whole), 1000):
+                batch = whole.slice(lo, 1000)
+                sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
                 yield _dealt(batch.column(0).to_numpy(), sets, bits)
 
     return run
