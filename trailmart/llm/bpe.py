@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from trailmart.llm.words import mix, slices, text_buffers
+from trailmart.llm.words import in_small_batches, mix, slices, text_buffers
 
 #: Fragments kept in a worker's table; past it, the table starts anew. Places are twice as many.
 TABLE_ROWS = 1 << 19
@@ -317,7 +317,7 @@ def encode(df: DataFrame, keep: Sequence[str], text_col: str, path: str) -> Data
                 )
 
     schema = _with(df, keep, "ids", T.ArrayType(T.IntegerType()))
-    return df.select(*keep, text_col).mapInArrow(run, schema)
+    return in_small_batches(df).select(*keep, text_col).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, keep: Sequence[str], ids_col: str, path: str) -> DataFrame:
@@ -343,4 +343,4 @@ def decode(df: DataFrame, keep: Sequence[str], ids_col: str, path: str) -> DataF
                     [*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, "text"]
                 )
 
-    return df.select(*keep, ids_col).mapInArrow(run, _with(df, keep, "text", T.StringType()))
+    return in_small_batches(df).select(*keep, ids_col).mapInArrow(run, _with(df, keep, "text", T.StringType()))

@@ -205,7 +205,7 @@ def find(
                     [*keep, "item_id", "start_word", "similarity"],
                 )
 
-        found = docs.select(*keep, text_col).mapInArrow(run, schema)
+        found = words.in_small_batches(docs).select(*keep, text_col).mapInArrow(run, schema)
         out = found if out is None else out.union(found)
     return out
 
@@ -232,5 +232,5 @@ def remove_contaminated(
                     clean[at] = not index.matches(grams, similarity)
                 yield pa.RecordBatch.from_arrays(batch.filter(pa.array(clean)).columns, names)
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = words.in_small_batches(docs).mapInArrow(run, docs.schema)
     return docs

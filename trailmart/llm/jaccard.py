@@ -391,7 +391,9 @@ def _enough(n: str, left: str, other_n: str, other_left: str) -> Column:
 def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row; see the module's text."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = words.in_small_batches(docs).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(3, (size // BUCKET_BYTES).bit_length())
     row_key = F.xxhash64("id", "text").alias("row_key")

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from trailmart.llm.words import in_small_batches
+
 UNKNOWN = "und"
 #: The dictionaries are fitted on a sample: so many pieces of so many characters for a language.
 SAMPLE_PIECES = 256
@@ -164,4 +166,4 @@ def identify(
             T.StructField("accepted", T.BooleanType()),
         ]
     )
-    return docs.select(*keep, text_col).mapInArrow(run, schema)
+    return in_small_batches(docs).select(*keep, text_col).mapInArrow(run, schema)

@@ -11,10 +11,27 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SHINGLE = 5
 #: Texts are worked on in slices of about this many bytes, so that memory stays flat.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+
+#: Rows that Spark hands to Python at a time; its default of 10,000 whole texts takes much memory.
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(texts: DataFrame) -> DataFrame:
+    """The same frame, in a session whose Arrow batches hold at most ``BATCH_ROWS`` rows.
+
+    A session that was set to fewer rows keeps its setting.
+    """
+    rows = int(texts.sparkSession.conf.get(_BATCH_SETTING))
+    if rows <= 0 or rows > BATCH_ROWS:
+        texts.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return texts
+
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
