@@ -54,7 +54,7 @@ def test_other_vocabularies_are_refused():
 
 def test_decoding_any_ids(library):
     draw = random.Random(1)
-    own = bpe.codec(PATH)
+    own = bpe.decoder(PATH)
     for _ in range(2000):
         ids = [draw.randrange(50_257) for _ in range(draw.randint(0, 8))]
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)

@@ -194,8 +194,30 @@ class _Table:
         return self._pool[np.repeat(self._at[rows] - ends + count, count) + np.arange(total)]
 
 
+def _token_bytes(said: dict) -> dict[int, bytes]:
+    """The bytes of every token of a vocabulary file."""
+    alphabet = byte_alphabet()
+    tokens = {i: bytes(alphabet[c] for c in t) for t, i in said["model"]["vocab"].items()}
+    return tokens | {t["id"]: t["content"].encode() for t in said["added_tokens"]}
+
+
+class Decoder:
+    """Ids to text; needs the tokens only, and not the library."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            tokens = _token_bytes(json.load(file))
+        self._bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+
+    def decode(self, ids: list[int]) -> str:
+        tokens, top = self._bytes, len(self._bytes)
+        if ids and (min(ids) < 0 or max(ids) >= top):
+            ids = [i for i in ids if 0 <= i < top]
+        return b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
+
+
 class Codec:
-    """Encodes and decodes with the vocabulary file at ``path``."""
+    """Encodes with the vocabulary file at ``path``."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -218,13 +240,10 @@ class Codec:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
-        alphabet = byte_alphabet()
-        tokens = {i: bytes(alphabet[c] for c in t) for t, i in model["vocab"].items()}
-        self._certain = certain_cuts(list(tokens.values())).reshape(-1)
-        added = {t["id"]: t["content"].encode() for t in said["added_tokens"]}
-        self._added = sorted(set(added.values()), key=len, reverse=True)
-        tokens |= added
-        self._bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        special = {t["id"]: t["content"].encode() for t in said["added_tokens"]}
+        plain = [t for i, t in _token_bytes(said).items() if i not in special]
+        self._certain = certain_cuts(plain).reshape(-1)
+        self._added = sorted(set(special.values()), key=len, reverse=True)
         self._table = _Table(self._encode)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
@@ -267,11 +286,11 @@ class Codec:
             sizes = np.diff(total[np.searchsorted(starts, begins)])
             yield sizes, self._table.ids(rows) if lists else np.zeros(0, np.int32)
 
-    def decode(self, ids: list[int]) -> str:
-        tokens, top = self._bytes, len(self._bytes)
-        if ids and (min(ids) < 0 or max(ids) >= top):
-            ids = [i for i in ids if 0 <= i < top]
-        return b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
+
+@functools.lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """The tokens of a vocabulary file, once in each Python worker."""
+    return Decoder(path)
 
 
 @functools.lru_cache(maxsize=2)
@@ -328,7 +347,7 @@ def decode(df: DataFrame, keep: Sequence[str], ids_col: str, path: str) -> DataF
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = decoder(path)
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 batch = whole.slice(lo, 1000)
