@@ -119,7 +119,8 @@ def similar_places(
             usable = (lengths > 0) & (seeds[:, None] != cids[None, :])
             cosines = np.full(lengths.shape, -np.inf)
             np.divide(a @ b.T, lengths, out=cosines, where=usable)
-            cosines = np.round(cosines, 9)
+            # Vectors that are not finite or overflow have no direction either.
+            cosines = np.where(np.isfinite(cosines), np.round(cosines, 9), -np.inf)
             keep = min(top_k, len(cids))
             edge = np.partition(cosines, -keep, axis=1)[:, -keep, None]
             row, item = np.nonzero((cosines >= edge) & np.isfinite(cosines))

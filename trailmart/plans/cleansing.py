@@ -42,8 +42,12 @@ def cleanse_logs(
 
 
 def dedup_logs(cleansed: DataFrame, keys: Sequence[str] = ("traceId",)) -> DataFrame:
-    """The newest load of every request."""
-    return ranking.latest_by(cleansed, keys)
+    """The newest load of every request; requests without an id all stay."""
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    newest = ranking.latest_by(cleansed.filter(known), keys)
+    return newest.unionByName(cleansed.filter(~known))
 
 
 def load_log_mart(
@@ -65,10 +69,12 @@ def load_log_mart(
 def shift_request_time(logs: DataFrame, hours: int = 9) -> tuple[DataFrame, DataFrame]:
     """Logs with the request time shifted, and the logs whose time cannot be read.
 
-    Logs without a request time are kept unchanged.
+    Logs without a request time are kept unchanged. A broken line, which the reader gives as a
+    row of NULLs, is among those that cannot be read.
     """
     shifted = times.shift_iso(F.col("requestTime"), hours)
-    readable = F.col("requestTime").isNull() | shifted.isNotNull()
+    anything = F.coalesce(*(F.col(c).cast("string") for c in logs.columns)).isNotNull()
+    readable = (F.col("requestTime").isNull() & anything) | shifted.isNotNull()
     return logs.filter(readable).withColumn("requestTime", shifted), logs.filter(~readable)
 
 

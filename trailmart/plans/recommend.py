@@ -14,8 +14,11 @@ _MEMBER_DAY = ["cre_dtm", "memberId"]
 
 
 def place_views(logs: DataFrame, day: str | date | None = None) -> DataFrame:
-    """(cre_dtm, memberId, traceId, id) of every viewed place."""
-    views = filters.route(logs, schemas.ROUTE_PLACE, "GET", day)
+    """(cre_dtm, memberId, traceId, id) of every viewed place.
+
+    Views without a member are left out: nobody could be recommended anything for them.
+    """
+    views = filters.route(logs, schemas.ROUTE_PLACE, "GET", day).filter("memberId is not null")
     return views.select(
         "cre_dtm", "memberId", "traceId", payloads.place_id(F.col("response")).alias("id")
     )

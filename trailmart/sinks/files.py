@@ -52,6 +52,20 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None
     )
 
 
+def clear_values(df: DataFrame, path: str, column: str) -> None:
+    """Delete the folders of the first partition column's values that ``df`` holds.
+
+    There are as many as the column has values in ``df``, such as the days of a batch.
+    """
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    root = path.rstrip("/")
+    for (value,) in df.select(F.col(column).cast("string")).distinct().collect():
+        folder = hadoop(f"{root}/{named.getPartitionPathString(column, value)}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace the whole partitioned folder. ``df`` must not read from it."""
     (

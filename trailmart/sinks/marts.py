@@ -33,7 +33,9 @@ def _replace(merged: DataFrame, path: str, partitions: Sequence[str], whole: boo
     if whole:
         sinks.overwrite_partitions(merged, path, partitions)
     else:
-        sinks.replace_partitions(merged, path, partitions)
+        # A row may have moved to another folder below its value, so the value is replaced whole.
+        sinks.clear_values(merged, path, partitions[0])
+        sinks.append_partitions(merged, path, partitions)
 
 
 def _mark(spark: SparkSession, staging: str, *pending: tuple[bool]) -> None:
