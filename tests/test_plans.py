@@ -267,3 +267,25 @@ def test_conversions(spark, tmp_path):
     convert.csv_to_parquet(spark, f"{tmp_path}/csv", f"{tmp_path}/pq2")
     (row,) = spark.read.parquet(f"{tmp_path}/pq2").collect()
     assert (row.traceId, row.url, row.request) == (1, "http://h/a", '{"a": "x, y"}')
+
+
+def test_a_request_that_moves_leaves_no_old_row(spark, folder):
+    def load(url, method, run_ts):
+        raw = spark.createDataFrame(
+            [("t1", url, method, "2024-01-02T03:04:05Z"), ("t2", "/b", "GET", "2024-01-02T03:04:05Z")],
+            "traceId string, url string, method string, requestTime string",
+        )
+        clean = cleansing.cleanse_logs(raw, run_ts)
+        cleansing.load_log_mart(spark, clean, f"{folder}/mart")
+
+    load("/a", "GET", "2024-01-03 01:00:00")
+    load("/z", "PUT", "2024-01-03 02:00:00")
+    rows = spark.read.parquet(f"{folder}/mart").select("traceId", "url_part", "method").collect()
+    assert sorted(map(tuple, rows)) == [("t1", "_z", "PUT"), ("t2", "_b", "GET")]
+
+
+def test_requests_without_an_id_all_stay(spark):
+    raw = spark.createDataFrame(
+        [(None, "/a"), (None, "/b"), ("t", "/c"), ("t", "/c")], "traceId string, url string"
+    ).selectExpr("*", "timestamp'2024-01-03' as etl_dtm")
+    assert cleansing.dedup_logs(raw).count() == 3
