@@ -224,6 +224,14 @@ _QUERIES = {
         "from deduplicated"
     ),
     "log_mart_rerun": "select * from deduplicated",
+    "log_mart_moved_route": (
+        "select * from cleansed where \"statusCode\" not in ('400', '500') union all "
+        "select distinct * replace (null as \"traceId\", "
+        f"'{SECOND_RUN}.000000' as etl_dtm) from cleansed where \"statusCode\" = '400' union all "
+        "select * replace ('/moved/' || \"traceId\" as url, 'PUT' as method, "
+        "'_moved_' as url_part, \"traceId\" as \"pathParam\", "
+        f"'{SECOND_RUN}.000000' as etl_dtm) from cleansed where \"statusCode\" = '500'"
+    ),
     "created_group_counting": (
         f"select cre_dtm, \"count\", '{FIRST_RUN}.000000' as etl_dtm from created"
     ),
@@ -256,8 +264,8 @@ _QUERIES = {
         "select ml_mapping_id, cid, round(score, 6) as score from nearest"
     ),
     "scored_by_fixed_answer": (
-        "select p.*, a.cid, a.score from pairs p, (values ('127480', cast(0.7 as double)), "
-        "('2750143', 0.6), ('2805408', 0.5), ('2750144', 0.4), ('2901530', 0.3)) a(cid, score)"
+        "select p.*, cast(100000 + k as varchar) as cid, round(1.0 / k, 6) as score "
+        "from pairs p, range(1, 6) a(k)"
     ),
     "explode_recommendations": (
         'select "memberId", ml_mapping_id, cid, round(score, 6) as score from scored'
@@ -267,7 +275,7 @@ _QUERIES = {
         'select "memberId", cid, cre_dtm, '
         "strftime(cast(cre_dtm as date) + 1, '%Y-%m-%d') || ' 00:00:00.000000' as etl_dtm from "
         '(select t."memberId", t.cre_dtm, s.cid, row_number() over '
-        '(partition by t."memberId" order by t.cre_dtm desc, s.score desc, s.cid) as rn '
+        '(partition by t."memberId" order by t.cre_dtm desc, s.cid) as rn '
         'from top_places t join scored s on s."memberId" = t."memberId" '
         "and s.ml_mapping_id = t.ml_mapping_id) where rn = 1"
     ),
@@ -285,6 +293,12 @@ _QUERIES = {
         'select m."memberId", p.cid, p."count" from members m, popular p where m."memberId" '
         'not in (select "memberId" from recommendations)'
     ),
+    "recommendations_or_popular": (
+        'select "memberId", cid, score, null::bigint as "count" from recommendations '
+        'where "memberId" in (select "memberId" from members) union all '
+        'select m."memberId", p.cid, null, p."count" from members m, popular p '
+        'where m."memberId" not in (select "memberId" from recommendations)'
+    ),
     "recommendation_coverage": (
         'select "memberId", count(*) as "count" from recommendations where name is not null '
         'and "traceId" is not null group by "memberId"'
@@ -303,11 +317,22 @@ _QUERIES = {
     "day_folder_logs": (
         f"select {_LOG_FIELDS} from logs where \"requestTime\" like '2024-01-15%'"
     ),
+    "day_folder_wrapped": (
+        f"select {_LOG_FIELDS}, null::varchar as \"brokenLine\" from logs "
+        "where \"requestTime\" like '2024-01-15%' and \"statusCode\" <> '500' union all "
+        "select null, null, null, null, null, null, null, null, null, null, null, "
+        "'{broken ' || \"traceId\" from logs "
+        "where \"requestTime\" like '2024-01-15%' and \"statusCode\" = '500'"
+    ),
     "json_glob_logs": f"select {_LOG_FIELDS} from logs",
     "salvage_raw_logs": (
         "select * from raw_lines where not contains(url, '/admin') "
         "and not contains(coalesce(response, ''), '/admin')"
     ),
+    "salvage_payloads": (
+        'select "traceId", response from logs where not contains(url, \'/admin\') '
+        "and not contains(response, '/admin') and \"statusCode\" not in ('201', '400')"
+    ),
     "salvage_single_line": (
         'select "traceId", url from raw_lines where not contains(url, \'/admin\') '
         "and not contains(coalesce(response, ''), '/admin') "
@@ -333,7 +358,7 @@ _QUERIES = {
         f"select f as \"format\", \"traceId\", {_FORMAT_FIELDS} from logs, "
         "(values ('json'), ('csv'), ('csv_inferred')) v(f)"
     ),
-    "place_csv_numeric_ids": "select * from places where try_cast(id as int) is not null",
+    "place_csv_numeric_ids": "select * from places where try_cast(id as bigint) is not null",
     "partition_replace": _UPSERTED,
     "recommendation_mart_replace": "select * from recommendations",
     "recommendation_day_replace": (

@@ -10,7 +10,7 @@ from harness import inputs
 from harness.inputs import FIRST_RUN, LAST_DAY, SECOND_RUN
 from trailmart import schemas, scratch
 from trailmart.functions import text, urls
-from trailmart.operators import filters, joins, ranking, scores
+from trailmart.operators import filters, joins, scores
 from trailmart.plans import aggregates, cleansing, convert, recommend, serving
 from trailmart.sinks import files as sinks
 from trailmart.sinks import marts as mart_sinks
@@ -130,6 +130,23 @@ def log_mart_rerun(spark, sf_dir):
     return marts.read_mart(spark, mart, schemas.CLEANSED_LOG)
 
 
+@query
+def log_mart_moved_route(spark, sf_dir):
+    """Errors come again with another route and method, refused requests come again unchanged and
+    have no trace id."""
+    raw = inputs.raw_logs(spark, sf_dir)
+    refused = F.col("statusCode") == "400"
+    raw = raw.withColumn("traceId", F.when(~refused, F.col("traceId")))
+    errors = raw.filter("statusCode = '500'").withColumns(
+        {"url": F.concat(F.lit("http://app:9090/moved/"), "traceId"), "method": F.lit("PUT")}
+    )
+    mart = scratch.new_folder(spark, "mart")
+    cleansing.load_log_mart(spark, cleansing.cleanse_logs(raw, FIRST_RUN), mart)
+    again = errors.unionByName(raw.filter(refused))
+    cleansing.load_log_mart(spark, cleansing.cleanse_logs(again, SECOND_RUN), mart)
+    return marts.read_mart(spark, mart, schemas.CLEANSED_LOG)
+
+
 @query
 def created_group_counting(spark, sf_dir):
     return aggregates.created_group_counting(_cleansed(spark, sf_dir), FIRST_RUN)
@@ -227,8 +244,7 @@ def similar_places_topk(spark, sf_dir):
 
 @query
 def scored_by_fixed_answer(spark, sf_dir):
-    # The canned answer of the dry-run model.
-    answer = {"127480": 0.7, "2750143": 0.6, "2805408": 0.5, "2750144": 0.4, "2901530": 0.3}
+    answer = {str(100000 + k): 1.0 / k for k in range(1, 6)}
     answers = scores.score_members(
         _top_places(spark, sf_dir), scores.fixed_scorer([answer]), partitions=8
     )
@@ -237,7 +253,8 @@ def scored_by_fixed_answer(spark, sf_dir):
 
 @query
 def explode_recommendations(spark, sf_dir):
-    return scores.explode_scores(_answers(spark, sf_dir, _top_places(spark, sf_dir)))
+    top_places = scratch.materialise(_top_places(spark, sf_dir))
+    return scores.explode_scores(_answers(spark, sf_dir, top_places))
 
 
 @query
@@ -249,8 +266,7 @@ def member_place_recommend(spark, sf_dir):
 def latest_recommendation_per_member(spark, sf_dir):
     loaded = F.date_add("cre_dtm", 1).cast("timestamp")
     rows = _recommendations(spark, sf_dir).withColumn("etl_dtm", loaded)
-    best = ranking.top_n(rows, ["cre_dtm", "memberId"], [F.desc("score"), F.asc("cid")])
-    return recommend.latest_per_member(best).select("memberId", "cid", "cre_dtm", "etl_dtm")
+    return recommend.latest_per_member(rows).select("memberId", "cid", "cre_dtm", "etl_dtm")
 
 
 @query
@@ -281,6 +297,13 @@ def popular_fallback(spark, sf_dir):
     )
 
 
+@query
+def recommendations_or_popular(spark, sf_dir):
+    return serving.recommendations_or_popular(
+        _recommendation_mart(spark, sf_dir), inputs.members(spark, sf_dir)
+    )
+
+
 @query
 def recommendation_coverage(spark, sf_dir):
     return serving.recommendation_coverage(_recommendation_mart(spark, sf_dir))
@@ -325,6 +348,23 @@ def day_folder_logs(spark, sf_dir):
     return one_day.unionByName(missing)
 
 
+@query
+def day_folder_wrapped(spark, sf_dir):
+    """A day of plain and wrapped lines, some cut short; those keep their text."""
+    folder = scratch.new_folder(spark, "wrapped")
+    raw = inputs.raw_logs(spark, sf_dir).filter("requestTime like '2024-01-15%'")
+    plain = F.to_json(F.struct(*schemas.RAW_LOG_FIELDS))
+    wrapped = F.to_json(F.struct(plain.alias("v")))
+    lines = raw.select("statusCode", "traceId", plain.alias("plain"), wrapped.alias("quoted"))
+    lines.select(
+        F.when(F.col("statusCode") == "500", F.concat(F.lit("{broken "), "traceId"))
+        .when(F.col("statusCode") == "201", F.expr("substring(quoted, 6, length(quoted) - 6)"))
+        .otherwise(F.col("plain"))
+        .alias("value")
+    ).write.text(f"{folder}/2024-01-15")
+    return logs.read_log_day(spark, folder, "2024-01-15", "*.txt", keep_broken=True)
+
+
 @query
 def json_glob_logs(spark, sf_dir):
     return logs.read_logs(spark, f"{_json_folder(spark, sf_dir)}/day=2024-01-*/*.json")
@@ -354,6 +394,18 @@ def salvage_raw_logs(spark, sf_dir):
     return cleansing.parse_salvaged(found)
 
 
+@query
+def salvage_payloads(spark, sf_dir):
+    """Salvage without the logs whose response is an HTML page or missing."""
+    html = F.concat(F.lit("<!DOCTYPE html>"), "response")
+    raw = inputs.raw_logs(spark, sf_dir).withColumn(
+        "response",
+        F.when(F.col("statusCode") == "400", html).when(F.col("statusCode") != "201", F.col("response")),
+    )
+    found = cleansing.salvage_json(inputs.as_json_lines(raw))
+    return cleansing.parse_salvaged(found, only_payloads=True).select("traceId", "response")
+
+
 @query
 def salvage_single_line(spark, sf_dir):
     found = cleansing.salvage_json(_raw_lines(spark, sf_dir), across_lines=False)
@@ -470,7 +522,7 @@ def recommendation_day_replace(spark, sf_dir):
     mart = scratch.new_folder(spark, "mart")
     rows = _recommendation_mart(spark, sf_dir)
     sinks.replace_partitions(rows, mart, schemas.DAY_PARTITION)
-    sinks.replace_day(rows, mart, "2024-01-15")
+    sinks.replace_day(rows.filter("cre_dtm = '2024-01-15'"), mart, "2024-01-15")
     sinks.replace_day(rows.filter("cid is null"), mart, LAST_DAY)
     return marts.read_mart(spark, mart, schemas.RECOMMENDATION)
 

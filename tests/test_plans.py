@@ -289,3 +289,52 @@ def test_requests_without_an_id_all_stay(spark):
         [(None, "/a"), (None, "/b"), ("t", "/c"), ("t", "/c")], "traceId string, url string"
     ).selectExpr("*", "timestamp'2024-01-03' as etl_dtm")
     assert cleansing.dedup_logs(raw).count() == 3
+
+
+def test_a_mart_keeps_requests_without_an_id_once(spark, folder):
+    logs = [{**request(n, f"/a/{n}"), "traceId": None} for n in range(4)]
+    for run_ts in (RUN, "2024-02-02 00:00:00"):
+        clean = cleansing.cleanse_logs(raw(spark, *logs, request(9, "/b")), run_ts)
+        cleansing.load_log_mart(spark, clean, f"{folder}/mart")
+    rows = marts.read_mart(spark, f"{folder}/mart", schemas.CLEANSED_LOG).collect()
+    assert sorted(r.url for r in rows) == ["/a/0", "/a/1", "/a/2", "/a/3", "/b"]
+    assert {str(r.etl_dtm) for r in rows} == {"2024-02-02 00:00:00"}
+
+
+def test_places_beyond_32_bits_are_known(spark):
+    places = spark.createDataFrame([("3000000000", "m", "n")], "id string, ml_mapping_id string, name string")
+    assert [r.id for r in recommend.place_mapping(places).collect()] == [3_000_000_000]
+
+
+def test_numbers_of_a_shared_request_follow_the_score(spark):
+    tops = [("m1", "p1", "t"), ("m2", "p2", "t"), ("m3", "p3", "u")]
+    top_places = spark.createDataFrame(tops, "memberId string, ml_mapping_id string, traceId string").selectExpr(
+        "*", f"timestamp'{RUN}' as etl_dtm", "date'2024-01-01' as cre_dtm"
+    )
+    answers = spark.createDataFrame(
+        [("m1", "p1", [{"a": 0.1, "b": 0.8}]), ("m2", "p2", [{"a": 0.5, "c": 0.8}]), ("m3", "p3", [{"a": 0.2}])],
+        schemas.SCORER_ANSWER,
+    )
+    places = spark.createDataFrame([("a", "n")], "ml_mapping_id string, name string")
+    rows = recommend.member_place_recommend(top_places, answers, places).collect()
+    assert sorted((r.traceId, r.memberId, r.cid) for r in rows) == [
+        ("t_1", "m1", "b"), ("t_2", "m2", "c"), ("t_3", "m2", "a"), ("t_4", "m1", "a"), ("u_1", "m3", "a"),
+    ]
+
+
+def test_odd_vectors_do_not_disturb_others(spark):
+    good = [(f"g{k}", [float(k), 1.0]) for k in range(9)]
+    odd = [("inf", [float("inf"), 1.0]), ("nan", [float("nan"), 1.0]), ("null", None),
+           ("hole", [None, 1.0]), ("long", [1.0, 1.0, 1.0]), ("zero", [0.0, 0.0])]
+    items = spark.createDataFrame(good + odd, "ml_mapping_id string, embedding array<double>")
+    plain = spark.createDataFrame(good, items.schema)
+
+    def near(seeds, frame, rows):
+        got = scores.similar_places(seeds, frame, block_rows=rows).collect()
+        return sorted(map(tuple, got))
+
+    expected = near(plain, plain, 4096)
+    assert len(expected) == 9 * 5
+    assert near(items, items, 4096) == near(items, items, 2) == expected
+    one = plain.filter("ml_mapping_id = 'g3'")
+    assert near(one, items, 2) == [r for r in expected if r[0] == "g3"]

@@ -110,13 +110,38 @@ def test_replace_day(spark, folder):
     path = f"{folder}/m"
     df = frame(spark, "2024-02-01", ("a", 1, "2024-01-01"), ("b", 2, "2024-01-02"))
     sinks.append_partitions(df, path, ["cre_dtm"])
-    sinks.replace_day(df.withColumn("v", F.lit(9)), path, "2024-01-01")
+    changed = df.withColumn("v", F.lit(9))
+    with pytest.raises(ValueError, match="rows of other days"):
+        sinks.replace_day(changed, path, "2024-01-01")
+    assert stored(spark, path) == [("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")]
+    sinks.replace_day(changed.filter("cre_dtm = '2024-01-01'"), path, "2024-01-01")
     assert stored(spark, path) == [("a", 9, "2024-01-01"), ("b", 2, "2024-01-02")]
     # A day without new rows is emptied, as deleting it first would do.
     sinks.replace_day(df.limit(0), path, date(2024, 1, 2))
     assert stored(spark, path) == [("a", 9, "2024-01-01")]
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_replace_day_may_read_the_mart(spark, folder, conf, adaptive):
+    conf("spark.sql.adaptive.enabled", adaptive)
+    path = f"{folder}/m"
+    spark.range(990).selectExpr("id", "date'2024-01-01' as cre_dtm").write.partitionBy(
+        "cre_dtm"
+    ).parquet(path)
+    sinks.replace_day(spark.read.parquet(path), path, "2024-01-01")
+    assert spark.read.parquet(path).distinct().count() == 990
+
+
+def test_a_stopped_replacement_is_finished(spark, folder):
+    path = f"{folder}/m"
+    spark.range(5).write.parquet(f"{path}/cre_dtm=2024-01-01")
+    staged = spark.range(9).selectExpr("id", "date'2024-01-01' as cre_dtm")
+    staged.write.parquet(f"{path}_staging/cre_dtm=2024-01-01")
+    assert sinks.resume_day(spark, path, "2024-01-01")
+    assert spark.read.parquet(path).count() == 9
+    assert not sinks.resume_day(spark, path, "2024-01-01")
+
+
 def test_too_many_folders_are_refused(spark, folder):
     df = spark.range(20).selectExpr("id", "cast(id as string) as memberId")
     with pytest.raises(ValueError, match="more than 10 folders"):

@@ -36,8 +36,8 @@ def without_text(df: DataFrame, column: str, part: str) -> DataFrame:
 
 
 def numeric_id(df: DataFrame, column: str = "id") -> DataFrame:
-    """Keep rows whose id is an integer."""
-    return df.filter(F.col(column).try_cast("int").isNotNull())
+    """Keep rows whose id is an integer of up to 64 bits."""
+    return df.filter(F.col(column).try_cast("bigint").isNotNull())
 
 
 def of_member(df: DataFrame, member: str | int) -> DataFrame:

@@ -43,21 +43,20 @@ def number_within(
     df: DataFrame,
     key: str,
     order: Sequence[Column],
-    spread_by: Sequence[str],
+    part: Column,
     name: str,
-    buckets: int = 256,
 ) -> DataFrame:
-    """Number the rows of each ``key`` from 1 without gathering a hot key in one task.
+    """Number the rows of each ``key`` from 1 in ``order``, a large key in several tasks.
 
-    The rows of a key are split by a hash of ``spread_by`` and numbered inside each part in
-    ``order``; a part starts where the parts before it end. A key whose rows all share one
-    ``spread_by`` value, the usual case, is numbered in plain ``order``. Only keys with several
-    parts appear on the small side of the join.
+    The rows of a key are split by ``part``, a whole number that never falls along ``order``, and
+    numbered inside each part; a part starts where the parts before it end. So the numbers do not
+    depend on how finely ``part`` cuts. Only keys with several parts appear on the small side of
+    the join.
     """
     # As a struct the key is never NULL, so a NULL key groups and joins like any other.
     place = ["_key", "_part"]
     split = df.withColumns(
-        {"_key": F.struct(key), "_part": F.pmod(F.xxhash64(*spread_by), F.lit(buckets))}
+        {"_key": F.struct(key), "_part": F.coalesce(part.cast("bigint"), F.lit(2**63 - 1))}
     )
     before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -65,37 +65,50 @@ def similar_places(
     top_k: int = schemas.TOP_K,
     block_rows: int = 4096,
     item_count: int | None = None,
+    seed_count: int | None = None,
 ) -> DataFrame:
     """The ``top_k`` items closest to each seed by cosine, exact: (ml_mapping_id, cid, score).
 
     ``seeds`` holds ml_mapping_id, ``items`` holds unique ml_mapping_id and embedding; seeds
-    without an item get no rows, and no item is recommended for itself. Items and seeds are cut
-    into hash blocks of about ``block_rows``; every block pair is one matrix product that lets
+    without an item get no rows, and no item is recommended for itself. A vector that is NULL or
+    holds a NULL has no neighbours, nor has one that is zero or not finite; vectors of different
+    lengths are not compared.
+
+    Items and seeds are cut into hash blocks of about ``block_rows``, each side by its own number
+    of rows, so few seeds do not copy the items. Every block pair is one matrix product that lets
     only its best ``top_k`` per seed out, so neither all pairs nor a whole side ever meet in one
     task. Scores are rounded to nine digits before ranking and ties go to the smaller cid, so the
     order does not depend on how vectors are blocked.
     """
     if item_count is None:
         item_count = items.count()
-    blocks = max(1, math.ceil(item_count / block_rows))
+    chosen = seeds.select("ml_mapping_id").distinct()
+    if seed_count is None:
+        seed_count = chosen.count()
+
+    def blocks(rows: int) -> int:
+        return max(1, math.ceil(rows / block_rows))
 
-    def block_of(column: str):
-        return F.pmod(F.xxhash64(column), F.lit(blocks))
+    def block_of(rows: int):
+        return F.pmod(F.xxhash64("ml_mapping_id"), F.lit(blocks(rows)))
 
-    def all_blocks():
-        last = F.lit(blocks - 1).cast("bigint")
+    def all_blocks(rows: int):
+        last = F.lit(blocks(rows) - 1).cast("bigint")
         return F.explode(F.sequence(F.lit(0).cast("bigint"), last))
 
-    wanted = seeds.select("ml_mapping_id").distinct().join(items, "ml_mapping_id")
+    items = items.filter(~F.exists("embedding", lambda x: x.isNull()))
+    wanted = chosen.join(items, "ml_mapping_id")
     left = wanted.select(
-        block_of("ml_mapping_id").alias("seed_block"),
-        all_blocks().alias("item_block"),
+        block_of(seed_count).alias("seed_block"),
+        all_blocks(item_count).alias("item_block"),
+        F.size("embedding").alias("width"),
         F.col("ml_mapping_id").alias("seed"),
         F.col("embedding").alias("direction"),
     )
     right = items.select(
-        all_blocks().alias("seed_block"),
-        block_of("ml_mapping_id").alias("item_block"),
+        all_blocks(seed_count).alias("seed_block"),
+        block_of(item_count).alias("item_block"),
+        F.size("embedding").alias("width"),
         F.col("ml_mapping_id").alias("cid"),
         "embedding",
     )
@@ -134,7 +147,7 @@ def similar_places(
             found["score"].append(cosines[row, item])
         return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
 
-    keys = ["seed_block", "item_block"]
+    keys = ["seed_block", "item_block", "width"]
     best = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))

@@ -61,19 +61,23 @@ def load_log_mart(
 
     A request delivered again keeps its request time and so its day; with the day among the keys
     only the days of the batch are read and rewritten. ``keys=("traceId",)`` also finds copies
-    on other days, at the price of a pass over the whole mart.
+    on other days, at the price of a pass over the whole mart. Requests without a trace id are
+    known by their content, so all of them stay and a rerun does not store them twice.
     """
-    return marts.upsert(spark, cleansed, path, keys, schemas.LOG_PARTITIONS, staging)
+    return marts.upsert(
+        spark, cleansed, path, keys, schemas.LOG_PARTITIONS, staging, optional="traceId"
+    )
 
 
 def shift_request_time(logs: DataFrame, hours: int = 9) -> tuple[DataFrame, DataFrame]:
     """Logs with the request time shifted, and the logs whose time cannot be read.
 
     Logs without a request time are kept unchanged. A broken line, which the reader gives as a
-    row of NULLs, is among those that cannot be read.
+    row of NULLs (and its text, if asked to keep it), is among those that cannot be read.
     """
     shifted = times.shift_iso(F.col("requestTime"), hours)
-    anything = F.coalesce(*(F.col(c).cast("string") for c in logs.columns)).isNotNull()
+    fields = [c for c in logs.columns if c != schemas.BROKEN_LINE]
+    anything = F.coalesce(*(F.col(c).cast("string") for c in fields)).isNotNull()
     readable = (F.col("requestTime").isNull() & anything) | shifted.isNotNull()
     return logs.filter(readable).withColumn("requestTime", shifted), logs.filter(~readable)
 
@@ -123,9 +127,13 @@ def salvage_json(
     return wanted.select(text.json_object_of_line(decoded).alias("json_str"))
 
 
-def parse_salvaged(found: DataFrame) -> DataFrame:
-    """Typed log columns of salvaged JSON text; decoded line breaks inside values are accepted."""
+def parse_salvaged(found: DataFrame, only_payloads: bool = False) -> DataFrame:
+    """Typed log columns of salvaged JSON text; decoded line breaks inside values are accepted.
+
+    ``only_payloads`` drops the logs whose response is missing or an HTML page.
+    """
     parsed = F.from_json(
         F.col("json_str"), schemas.RAW_LOG, {"allowUnquotedControlChars": "true"}
     )
-    return found.select(parsed.alias("log")).select("log.*")
+    logs = found.select(parsed.alias("log")).select("log.*")
+    return logs.filter(text.is_payload(F.col("response"))) if only_payloads else logs

@@ -90,18 +90,24 @@ def member_place_recommend(
 ) -> DataFrame:
     """The rows of the recommendation mart, out of top places and the scorer's answers.
 
-    Trace ids are numbered per request, best score first. A recommended place that the dimension
-    does not know keeps a NULL name. Both inputs are used more than once, so materialise answers
+    Trace ids are numbered per request, best score first, then by cid, day and member. A request
+    that several members share is cut by score, so that no task has to hold all its rows. A
+    recommended place that the dimension does not know keeps a NULL name. Both inputs are used more than once, so materialise answers
     of a real model first (``trailmart.scratch.materialise``).
     """
     scored = scores.explode_scores(answers).select("memberId", "ml_mapping_id", "cid", "score")
     context = top_places.select(*_MEMBER_DAY, "ml_mapping_id", "traceId", "etl_dtm")
+    shared = context.groupBy("traceId").count().where("count > 1 and traceId is not null")
+    context = lookup_join(context, shared.select("traceId", F.lit(True).alias("_shared")), ["traceId"])
     rows = scored.join(context, ["memberId", "ml_mapping_id"], "left")
+    # Descending like the scores: NaN and infinity come first, NULL last.
+    level = F.when(F.isnan("score"), F.lit(-(2**63))).otherwise(F.floor(F.col("score") * -1000))
+    several = F.col("_shared").isNotNull() | F.col("traceId").isNull()
     numbered = ranking.number_within(
         rows,
         "traceId",
         [F.col("score").desc(), F.col("cid").asc(), *[F.col(c).asc() for c in _MEMBER_DAY]],
-        spread_by=_MEMBER_DAY,
+        part=F.when(several, level).otherwise(0),
         name="_n",
     )
     unique = numbered.withColumn(

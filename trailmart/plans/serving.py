@@ -61,6 +61,18 @@ def popular_fallback(
     return without.select("memberId", F.inline(top.scalar()).alias("cid", "count"))
 
 
+def recommendations_or_popular(
+    recommendations: DataFrame, members: DataFrame, n: int = schemas.TOP_K
+) -> DataFrame:
+    """(memberId, cid, score, count): a member's own places with their scores or, for a member
+    without any, the places recommended most often with their counts."""
+    own = filters.of_members(recommendations, members).select(
+        "memberId", "cid", "score", F.lit(None).cast("bigint").alias("count")
+    )
+    popular = popular_fallback(recommendations, members, n)
+    return own.unionByName(popular.withColumn("score", F.lit(None).cast("double")))
+
+
 def recommendation_coverage(recommendations: DataFrame) -> DataFrame:
     """Complete recommendation rows per member."""
     return recommendations.na.drop().groupBy("memberId").agg(F.count("*").alias("count"))

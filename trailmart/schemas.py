@@ -11,6 +11,9 @@ RAW_LOG = (
 )
 RAW_LOG_FIELDS = [field.split()[0] for field in RAW_LOG.split(", ")]
 
+# The column in which readers keep the text of a line that cannot be parsed, if asked to.
+BROKEN_LINE = "brokenLine"
+
 CLEANSED_LOG = RAW_LOG + ", url_part string, pathParam string, cre_dtm date, etl_dtm timestamp"
 
 REQUEST_APPLICATION = "memberId int, groupId int"

@@ -3,9 +3,10 @@
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of each output folder together, so that tasks do not write everywhere.
 
@@ -34,11 +35,53 @@ def append_partitions(
     by_partition(df, columns).write.mode("append").partitionBy(*columns).parquet(path)
 
 
-def replace_day(df: DataFrame, path: str, day: str | date, column: str = "cre_dtm") -> None:
-    """Replace one day of a mart by the rows ``df`` has for it, also when it has none."""
-    only = df.filter(F.col(column) == F.lit(str(day)).cast("date")).drop(column)
-    folder = f"{path.rstrip('/')}/{column}={day}"
-    only.hint("rebalance").write.mode("overwrite").parquet(folder)
+def replace_day(
+    df: DataFrame, path: str, day: str | date, column: str = "cre_dtm", staging: str | None = None
+) -> None:
+    """Replace one day of a mart by ``df``, also when it has no rows; other days are refused.
+
+    The rows are first written whole under ``staging`` (by default beside the mart) and the day is
+    replaced from there, so ``df`` may read the mart. Until the day is replaced the staged rows
+    stay: a run that stopped is finished by ``resume_day``.
+    """
+    staged = _staged_day(path, day, column, staging)
+    df.hint("rebalance").write.mode("overwrite").parquet(staged)
+    resume_day(df.sparkSession, path, day, column, staging)
+
+
+def _staged_day(path: str, day: str | date, column: str, staging: str | None) -> str:
+    return f"{(staging or path.rstrip('/') + '_staging').rstrip('/')}/{column}={day}"
+
+
+def resume_day(
+    spark: SparkSession,
+    path: str,
+    day: str | date,
+    column: str = "cre_dtm",
+    staging: str | None = None,
+) -> bool:
+    """Replace a day by its staged rows, if they were written whole; False when there are none."""
+    staged = _staged_day(path, day, column, staging)
+    whole = _hadoop_path(spark, f"{staged}/_SUCCESS")
+    if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
+        return False
+    rows = spark.read.parquet(staged)
+    wanted = F.col(column).eqNullSafe(F.lit(str(day)).cast("date"))
+    if not rows.filter(~wanted).isEmpty():
+        _delete(spark, staged)
+        raise ValueError(f"rows of other days than {day}")
+    rows.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
+    _delete(spark, staged)
+    return True
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = _hadoop_path(spark, path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -58,12 +101,10 @@ def clear_values(df: DataFrame, path: str, column: str) -> None:
     There are as many as the column has values in ``df``, such as the days of a batch.
     """
     spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     root = path.rstrip("/")
     for (value,) in df.select(F.col(column).cast("string")).distinct().collect():
-        folder = hadoop(f"{root}/{named.getPartitionPathString(column, value)}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, f"{root}/{named.getPartitionPathString(column, value)}")
 
 
 def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:

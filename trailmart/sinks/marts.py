@@ -12,13 +12,26 @@ from trailmart.sources import files as sources
 
 
 def merge_latest(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], order_col: str = "etl_dtm"
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    order_col: str = "etl_dtm",
+    optional: str | None = None,
 ) -> DataFrame:
-    """Old and new rows together, the newest of each key; columns are matched by name."""
+    """Old and new rows together, the newest of each key; columns are matched by name.
+
+    Where the key column ``optional`` is NULL a row has no id of its own. Its content then stands
+    for the id: a digest of all columns but ``order_col``.
+    """
     casts = [F.col(f.name).cast(f.dataType) for f in new.schema.fields if f.name in old.columns]
     rest = [c for c in old.columns if c not in new.columns]
     both = old.select(*casts, *rest).unionByName(new, allowMissingColumns=True)
-    return ranking.latest_by(both, keys, order_col)
+    if optional is None:
+        return ranking.latest_by(both, keys, order_col)
+    content = F.to_json(F.struct(*[c for c in both.columns if c != order_col]))
+    digest = F.when(F.col(optional).isNull(), F.sha2(content.cast("binary"), 256))
+    named = both.withColumn("_content", digest)
+    return ranking.latest_by(named, [*keys, "_content"], order_col).drop("_content")
 
 
 def _read_old(spark: SparkSession, path: str, new: StructType) -> DataFrame:
@@ -61,6 +74,7 @@ def upsert(
     partitions: Sequence[str],
     staging: str | None = None,
     order_col: str = "etl_dtm",
+    optional: str | None = None,
 ) -> DataFrame:
     """Merge ``new`` into the mart at ``path`` and return the new rows as they were stored.
 
@@ -73,7 +87,8 @@ def upsert(
     When the keys include the first partition column, a row can only meet rows of its own
     partition value. Then only the values present in ``new`` are read and replaced, however large
     the mart is. Other keys can move rows between partitions and empty some, so the whole mart is
-    merged and replaced. Only one run may write to a mart at a time.
+    merged and replaced. Only one run may write to a mart at a time. For ``optional`` see
+    ``merge_latest``.
     """
     staging = (staging or path.rstrip("/") + "_staging").rstrip("/")
     first = partitions[0]
@@ -90,7 +105,7 @@ def upsert(
         if len(known) < len(values):
             touched = touched | F.col(first).isNull()
         old = old.filter(touched)
-    merged = merge_latest(old, staged, keys, order_col)
+    merged = merge_latest(old, staged, keys, order_col, optional)
     sinks.overwrite(merged, f"{staging}/merged")
     _mark(spark, staging, (whole,))
     ready = sources.parquet_or_empty(spark, f"{staging}/merged", merged.schema)
