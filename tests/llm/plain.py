@@ -46,7 +46,7 @@ def passages(docs, items, similarity=0.75):
         own = grams(words(text))
         for item, passage in items:
             bag = grams(words(passage))
-            if not own or not bag:
+            if set(own).isdisjoint(bag):
                 continue
             best = 0.0
             for at in range(max(1, len(own) - len(bag) + 1)):

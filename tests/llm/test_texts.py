@@ -101,6 +101,32 @@ def test_passages_are_those_of_all_windows(spark):
     assert ids == {r["doc_id"] for r in docs.collect()} - {d for d, _ in plain}
 
 
+def test_passages_with_words_put_in_and_left_out(spark):
+    draw = np.random.default_rng(11)
+    items, docs = [], []
+    for k in range(12):
+        size = int(draw.integers(12, 90))
+        base = [f"i{k}w{w}" for w in draw.integers(0, 60 if k % 3 else 9, size)]
+        items.append((k, " ".join(base)))
+        for _ in range(12):
+            own = list(base)
+            for _ in range(draw.integers(0, 3)):
+                at, many = int(draw.integers(0, len(own))), int(draw.integers(1, 4))
+                own[at:at] = [f"n{w}" for w in draw.integers(0, 10**6, many)]
+            for _ in range(draw.integers(0, 3)):
+                at = int(draw.integers(0, len(own)))
+                del own[at : at + int(draw.integers(1, 4))]
+            lead, tail = ([f"o{w}" for w in draw.integers(0, 10**6, draw.integers(0, 30))] for _ in "ab")
+            docs.append((len(docs), " ".join([*lead, *own, *tail])))
+    plain = passages(docs, items)
+    found = decontaminate.find(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        keep=["doc_id"],
+    ).collect()
+    assert {(r["doc_id"], r["item_id"]): pytest.approx(r["similarity"]) for r in found} == plain
+
+
 def test_all_items_within_the_radius_are_found():
     draw = np.random.default_rng(0)
     text = " ".join(f"w{k}" for k in range(4000))
