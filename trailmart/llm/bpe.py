@@ -12,7 +12,6 @@ certain cut is one fragment. The string of a special token is that token, as in
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 from collections.abc import Callable, Iterator, Sequence
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from trailmart.llm.words import in_small_batches, mix, slices, text_buffers
+from trailmart.llm.words import held, in_small_batches, mix, slices, text_buffers
 
 #: Fragments kept in a worker's table; past it, the table starts anew. Places are twice as many.
 TABLE_ROWS = 1 << 19
@@ -287,16 +286,14 @@ class Codec:
             yield sizes, self._table.ids(rows) if lists else np.zeros(0, np.int32)
 
 
-@functools.lru_cache(maxsize=2)
 def decoder(path: str) -> Decoder:
     """The tokens of a vocabulary file, once in each Python worker."""
-    return Decoder(path)
+    return held(Decoder, path)
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """The codec of a vocabulary file, once in each Python worker."""
-    return Codec(path)
+    return held(Codec, path)
 
 
 def id_lists(column: pa.Array, path: str) -> pa.Array:

@@ -20,7 +20,6 @@ smallest id. Repeated rows each have their matches. Without items every document
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -147,11 +146,6 @@ class Index:
         return [best[k] for k in sorted(best)]
 
 
-@functools.lru_cache(maxsize=2)
-def _index(items: tuple[tuple[int, str], ...], similarity: float) -> Index:
-    return Index(items, similarity)
-
-
 def _passes(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[tuple[int, str], ...]]:
     """The items in blocks of bounded size, collected one after another."""
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
@@ -201,7 +195,7 @@ def find(
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared.value, similarity)
+            index = words.held(Index, shared.value, similarity)
             for batch in batches:
                 rows = [
                     (at, index.names[m.item], m.start, m.similarity)
@@ -239,7 +233,7 @@ def remove_contaminated(
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared.value, similarity)
+            index = words.held(Index, shared.value, similarity)
             for batch in batches:
                 clean = np.ones(len(batch), bool)
                 for at, grams in _grams(batch.column(place)):

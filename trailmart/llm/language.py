@@ -12,7 +12,6 @@ with letters are of it, with score 1.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from trailmart.llm.words import in_small_batches
+from trailmart.llm.words import held, in_small_batches
 
 UNKNOWN = "und"
 #: The dictionaries are fitted on a sample: so many pieces of so many characters for a language.
@@ -127,11 +126,6 @@ class _Model:
         return self._best(blocks, FINE_LEVEL) if score < CLOSE else (lang, score)
 
 
-@functools.lru_cache(maxsize=2)
-def _model(content: tuple[tuple[str, bytes], ...]) -> _Model:
-    return _Model(content)
-
-
 def identify(
     docs: DataFrame,
     dictionaries: dict[str, bytes],
@@ -143,7 +137,7 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(dictionaries.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(shared.value)
+        model = held(_Model, shared.value)
         for batch in batches:
             found = [model.predict(x.as_py()) for x in batch.column(len(keep))]
             langs, scores = [f[0] for f in found], [f[1] for f in found]

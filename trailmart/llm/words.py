@@ -6,8 +6,9 @@ which no other character holds these bytes, so working on bytes equals working o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import NamedTuple
+import gc
+from collections.abc import Callable, Iterator
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,24 @@ def in_small_batches(texts: DataFrame) -> DataFrame:
     return texts
 
 
+#: Models that a Python worker keeps. It lives on and serves one operator after another.
+HELD_MODELS = 2
+_held: dict[tuple, Any] = {}
+
+
+def held(make: Callable, *key) -> Any:
+    """``make(*key)``, kept in this worker for the tasks that follow; the oldest model gives way."""
+    name = (make, *key)
+    found = _held.pop(name, None)
+    if found is None:
+        if len(_held) >= HELD_MODELS:
+            del _held[next(iter(_held))]
+            gc.collect()
+        found = make(*key)
+    _held[name] = found
+    return found
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _PLACES = np.array([pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(SHINGLE)], np.uint64)
