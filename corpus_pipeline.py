@@ -47,7 +47,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the text that they decode to."""
     path = public_tokenizers.path(VOCABULARY)
     keep = [c for c in docs.columns if c != "text"]
-    ids = bpe.encode(docs, keep, "text", path)
+    # Written between, so that a task needs one Python worker at a time and not two.
+    ids = scratch.materialise(bpe.encode(docs, keep, "text", path))
     with_ids = bpe.decode(ids, [*keep, "ids"], "ids", path)
     return with_ids.select(*docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
