@@ -197,6 +197,28 @@ def test_held_out_scores_beat_the_base(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def test_the_tree_keeps_rare_contexts_however_large_the_corpus_is(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = docs.select("text")
+    counts = suffix_tree._counts(texts, lambda t, b: t.view(np.int64)).cache()
+    n, v = counts.agg(F.sum("n"), F.count("*")).first()
+    tree = suffix_tree.learn(texts, counts, n, v)
+    known = {r["key"]: r["n"] for r in counts.collect()}
+    expected = []
+    for r in docs.collect():
+        ((_, tokens, bounds),) = suffix_tree._tokens(pa.array([r["text"] or ""]))
+        symbols = tree.symbols(tokens)
+        one, two = suffix_tree._history(symbols, bounds)
+        rare = tokens[symbols == 0].view(np.int64).tolist()
+        more = sum(math.log10(known[t] + 1) for t in rare)
+        expected.append((r["doc_id"], tree.two(two, one, symbols).sum() + more))
+    # As if the corpus were so large that next to no word made up the least share of it.
+    monkeypatch.setattr(suffix_tree, "MAX_WORDS", 16)
+    monkeypatch.setattr(suffix_tree, "SIEVE_BITS", 15, raising=False)
+    rows = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score(docs, F.lit(False)).collect())
+    assert rows == [(k, pytest.approx(x, abs=1e-4)) for k, x in sorted(expected)]
+
+
 def test_scores_of_empty_tables(no_docs, odd_docs):
     assert suffix_tree.score(no_docs, F.lit(False)).count() == 0
     rows = suffix_tree.score(odd_docs, F.lit(True)).collect()

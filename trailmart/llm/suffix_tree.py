@@ -8,10 +8,13 @@ if the corpus is described better with it: its divergence from its parent, times
 occurs, must exceed half the logarithm of the corpus size for each word that it lists. A symbol
 is scored by the longest context that was kept.
 
-The words that can be contexts or be listed are those that make up at least ``1 / MAX_WORDS`` of
-the corpus, contexts of two words and listed followers at least ``1 / MAX_CONTEXTS`` and
-``1 / MAX_FOLLOWERS``, so there are at most that many and the tree may be sent to all tasks,
-however large the corpus is. The root holds every word; it stays a table and is joined.
+Every word, context and listed follower that occurs ``LEAST`` times counts, however large the
+corpus is, so all of them stay tables. The logarithm of a symbol's probability is a sum over the
+runs of words that end with it: each word adds its part of the root, each listed follower what it
+gains over the parent, and each kept context what it leaves to its parent. So runs are looked up
+by one hash each, in buckets, and added up by text. Only two things are sent to the tasks, both of
+bounded size and neither changing a result: the values of the most frequent runs, and a sieve of
+bits that lets through all runs of a table and few others.
 
 Null and empty texts are the end alone. Ids may repeat or be null; every row has its own score.
 Without training texts the root gives every symbol probability 1.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +35,20 @@ from pyspark.sql import functions as F
 from trailmart import scratch
 from trailmart.llm import words
 
+#: Runs that make up ``1 / MAX_WORDS`` of the corpus are looked up in the tasks, others are joined.
 MAX_WORDS = 1 << 16
-MAX_CONTEXTS = 1 << 16
-MAX_FOLLOWERS = 1 << 19
-#: And at least this often.
+#: Contexts and listed followers occur at least this often.
 LEAST = 4
+#: Bits of a hash that a sieve tells apart.
+SIEVE_BITS = 27
 DISCOUNT = 0.5
+#: Words of the longest contexts.
+CONTEXT = 2
 BUCKET_TOKENS = 1_500_000
 END = np.uint64(0x3C6EF372FE94F82A)
 
 _BITS = np.int64(20)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -166,7 +174,7 @@ def _nodes(
 
 
 def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with at least so many, sorted; how many there can be is for the caller to bound."""
+    """Keys with at least so many, sorted."""
     table = counts.where(F.col("n") >= least).toArrow()
     keys, n = (table[c].to_numpy() for c in ("key", "n"))
     order = np.argsort(keys)
@@ -174,9 +182,9 @@ def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -> Tree:
-    """The tree of training texts; ``vocabulary`` (key, n) has the counts of all their words."""
-    least = lambda most: max(LEAST, corpus / most)
-    keys, n = _frequent(vocabulary, least(MAX_WORDS))
+    """The first two levels as arrays, for corpora of under 2^20 frequent words; ``score`` has the
+    same nodes in tables. ``vocabulary`` (key, n) has the counts of all words of the texts."""
+    keys, n = _frequent(vocabulary, LEAST)
     order = np.argsort(keys.view(np.uint64))
     tree = Tree(
         words=keys.view(np.uint64)[order],
@@ -197,7 +205,7 @@ def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -
 
     shared = send(tree)
     found = scratch.materialise(_counts(texts, lambda t, b: pairs(shared.value, t, b)))
-    keys, n = _frequent(found, least(MAX_FOLLOWERS))
+    keys, n = _frequent(found, LEAST)
     context, symbol = keys >> _BITS, keys & ((1 << _BITS) - 1)
     total = np.ones(len(tree.rest1))
     total[context[symbol == 0]] = n[symbol == 0]
@@ -207,7 +215,7 @@ def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -
     kept, tree.rest1, logs = _nodes(total, context, n, tree.counts[symbol] - tree.size, corpus)
     tree.keys1, tree.logs1 = keys[kept[context]], logs[kept[context]]
 
-    tree.contexts2 = pair_keys[pair_n >= least(MAX_CONTEXTS)]
+    tree.contexts2 = pair_keys[pair_n >= LEAST]
 
     def triples(tree: Tree, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         symbols = tree.symbols(tokens)
@@ -220,7 +228,7 @@ def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -
 
     shared2 = send(tree)
     found = scratch.materialise(_counts(texts, lambda t, b: triples(shared2.value, t, b)))
-    keys, n = _frequent(found, least(MAX_FOLLOWERS))
+    keys, n = _frequent(found, LEAST)
     context, symbol = keys >> _BITS, keys & ((1 << _BITS) - 1)
     total = np.ones(len(tree.contexts2))
     total[context[symbol == 0]] = n[symbol == 0]
@@ -236,6 +244,185 @@ def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -
     return tree
 
 
+def _run_hash(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The hash of runs by those of all but their last and all but their first word."""
+    return words.mix(context * _STEP + suffix)
+
+
+def _runs(
+    tokens: np.ndarray, bounds: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For two words, three and so on: where runs end, and the hashes of each run, of it without
+    its last word (its context) and of it without its first."""
+    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+    shorter, size = tokens, 2
+    while len(at := np.flatnonzero(place >= size - 1)):
+        longer = np.zeros_like(tokens)
+        longer[at] = _run_hash(shorter[at - 1], shorter[at])
+        yield at, longer[at], shorter[at - 1], shorter[at]
+        shorter, size = longer, size + 1
+
+
+def _in_sieve(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether hashes may be in the table that the sieve was made of."""
+    place = keys >> np.uint64(64 - len(bits).bit_length() - 2)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _sieve(table: DataFrame) -> np.ndarray:
+    """A bit for the first ``SIEVE_BITS`` bits of each ``key``."""
+    place = F.shiftrightunsigned("key", 64 - SIEVE_BITS) + 1
+    parts = (
+        table.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at"))
+        .repartition("part")
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
+    )
+    bits = np.zeros(1 << (SIEVE_BITS - 3), np.uint8)
+    for r in parts.collect():
+        own = np.frombuffer(r["bits"], np.uint8)
+        bits[(r["part"] - 1) * len(own) : r["part"] * len(own)] = own
+    return bits
+
+
+def _summed(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    keys, context, suffix, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    _, first, where = np.unique(keys, return_index=True, return_inverse=True)
+    return keys[first], context[first], suffix[first], np.bincount(where, n).astype(np.int64)
+
+
+def _count_runs(texts: DataFrame, size: int, shared) -> DataFrame:
+    """(key, context, suffix, n) of the runs of ``size`` words that occur ``LEAST`` times.
+
+    Both runs within such a run occur as often, so those that are not in the sieve of the shorter
+    runs are left out at once.
+    """
+
+    def packed(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        arrays = [pa.array(x.view(np.int64)) for x in found[1:]]
+        whole = pa.RecordBatch.from_arrays(arrays, ["context", "suffix", "n"])
+        for lo in range(0, len(whole), 50_000):
+            yield whole.slice(lo, 50_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        found: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+        for batch in batches:
+            for _, tokens, bounds in _tokens(batch.column(0)):
+                for _, *own in islice(_runs(tokens, bounds), size - 2, size - 1):
+                    some = _in_sieve(bits, own[1]) & _in_sieve(bits, own[2])
+                    found.append((*(x[some] for x in own), np.ones(some.sum(), np.int64)))
+                    rows += len(found[-1][0])
+                if rows > 500_000:
+                    found = [_summed(found)]
+                    rows = len(found[0][0])
+                    if rows > 250_000:
+                        yield from packed(found[0])
+                        found, rows = [], 0
+        if found:
+            yield from packed(_summed(found))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = _run_hash(*(batch.column(k).to_numpy().view(np.uint64) for k in range(2)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), *batch.columns], ["key", "context", "suffix", "n"]
+            )
+
+    # A run is known by its context and what follows its first word, which saves the key's place.
+    made = texts.mapInArrow(run, "context long, suffix long, n long")
+    summed = made.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return summed.mapInArrow(named, "key long, context long, suffix long, n long")
+
+
+def _level(counted: DataFrame, shorter: DataFrame, corpus: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes of the contexts of counted runs: the test of ``_nodes``, on tables.
+
+    Gives the runs, (key, n, log, value), where ``log`` is the log10 probability of the last word
+    after the others and ``value`` is what the run adds to it, null where its context is not kept;
+    and the kept nodes, (context, total, rest).
+    """
+    rows = scratch.materialise(
+        counted.join(shorter.select(F.col("key").alias("suffix"), F.col("log").alias("parent")), "suffix")
+        .join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+        .select("key", "context", "n", "total", "parent", ((F.col("n") - DISCOUNT) / F.col("total")).alias("share"))
+    )
+    share, parent = F.col("share"), F.col("parent")
+    between = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1.0))
+    # Rounded, so that the order of the sums does not show.
+    nodes = (
+        rows.groupBy("context")
+        .agg(
+            F.first("total").alias("total"),
+            F.count("*").alias("listed"),
+            between(F.round(1 - F.sum(share), 12)).alias("left"),
+            between(F.round(1 - F.sum(F.pow(F.lit(10.0), parent)), 12)).alias("over"),
+            F.sum(share * (F.log10(share) - parent)).alias("gain"),
+        )
+        .withColumn("rest", F.round(F.log10(F.col("left") / F.col("over")), 9))
+        .withColumn("gain", F.round(F.col("gain") + F.col("left") * F.col("rest"), 9))
+    )
+    cost = 0.5 * float(np.log10(max(corpus, 10)))
+    nodes = scratch.materialise(
+        nodes.where(F.col("total") * F.col("gain") > cost * F.col("listed")).select("context", "total", "rest")
+    )
+    log = F.when(F.col("rest").isNull(), parent).otherwise(F.log10(share))
+    found = rows.join(nodes.drop("total"), "context", "left").select(
+        "key", "n", log.alias("log"), (log - parent - F.col("rest")).alias("value")
+    )
+    return scratch.materialise(found), nodes
+
+
+def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, size: float) -> tuple[DataFrame, int]:
+    """The tree as (key, n, often, value): the count of words, how often a run occurs, and what it
+    adds to the scores of the root; and how many words the longest runs have."""
+    send = texts.sparkSession.sparkContext.broadcast
+    row = lambda t, key, n, often, v: t.select(
+        F.col(key).alias("key"), n.cast("long").alias("n"), often.alias("often"), v.alias("value")
+    )
+    none = F.lit(0)
+    values = row(vocabulary, "key", F.col("n"), F.col("n"), F.lit(0.0))
+    shorter = vocabulary.where(F.col("n") >= LEAST).withColumn("log", F.log10(F.col("n") + 1) - size)
+    for length in range(2, CONTEXT + 2):
+        shared = send(_sieve(shorter))
+        shorter, nodes = _level(_count_runs(texts, length, shared), shorter, corpus)
+        shared.destroy()
+        kept = row(shorter.where("value is not null"), "key", none, F.col("n"), F.col("value"))
+        values = values.union(kept).union(row(nodes, "context", none, F.col("total"), F.col("rest")))
+    # A run has one value of its own and one as a context at most, so the sum has no order.
+    tree = values.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max("often").alias("often"), F.sum("value").alias("value")
+    )
+    return scratch.materialise(tree), length
+
+
+@dataclass
+class Hot:
+    """The most frequent runs, sorted by hash, and the sieve of all runs of two words and more."""
+
+    keys: np.ndarray
+    logs: np.ndarray  # log10(count + 1) of words, 0 for longer runs
+    values: np.ndarray
+    bits: np.ndarray
+    size: float  # log10(N + V + 1)
+    longest: int
+
+
+def _hot(tree: DataFrame, corpus: int, size: float, longest: int) -> Hot:
+    often = tree.where(F.col("often") >= max(LEAST, corpus / MAX_WORDS)).toArrow()
+    keys = often["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Hot(
+        keys[order],
+        np.log10(often["n"].to_numpy()[order] + 1.0),
+        often["value"].to_numpy()[order],
+        _sieve(tree.where("n = 0")),
+        size,
+        longest,
+    )
+
+
 _DEALT = (
     "bucket int, rows binary, sizes binary, tokens binary, times binary, row long, id long, "
     "held_out boolean, n_tokens long, n_known long, base double, score double"
@@ -243,11 +430,11 @@ _DEALT = (
 
 
 def _deal(shared, bits: int):
-    """(id, held_out, text) to one row for each text and packed rare words for each bucket."""
+    """(id, held_out, text) to one row for each text and packed rare runs for each bucket."""
     names = [x.split()[0] for x in _DEALT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
+        hot: Hot = shared.value
         task = np.int64(TaskContext.get().partitionId()) << np.int64(40)
         seen = 0
         for batch in batches:
@@ -255,14 +442,20 @@ def _deal(shared, bits: int):
                 texts = len(bounds) - 1
                 row = task + seen + first + np.arange(texts)
                 size = np.diff(bounds)
-                symbols = tree.symbols(tokens)
-                one, two = _history(symbols, bounds)
-                begin = bounds[:-1]
-                rare = np.flatnonzero(symbols == 0)
                 own = np.repeat(np.arange(texts), size)
-                plain = np.add.reduceat(tree.counts[symbols], begin) - size * tree.size
-                score = np.add.reduceat(tree.two(two, one, symbols), begin)
-                known = np.add.reduceat((symbols > 0).astype(np.int64), begin)
+                at = _look_up(tokens, hot.keys)
+                found = at >= 0
+                known = np.bincount(own[found], minlength=texts)
+                plain = np.bincount(own[found], hot.logs[at[found]], texts) - size * hot.size
+                score = plain + np.bincount(own[found], hot.values[at[found]], texts)
+                rare = [(own[~found], tokens[~found])]
+                for ends, keys, _, _ in islice(_runs(tokens, bounds), hot.longest - 1):
+                    some = _in_sieve(hot.bits, keys)
+                    ends, keys = own[ends[some]], keys[some]
+                    at = _look_up(keys, hot.keys)
+                    found = at >= 0
+                    score += np.bincount(ends[found], hot.values[at[found]], texts)
+                    rare.append((ends[~found], keys[~found]))
                 packed = [pa.nulls(texts, pa.binary())] * 4
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -274,7 +467,7 @@ def _deal(shared, bits: int):
                     ],
                     names,
                 )
-                yield _packed(row, own[rare], tokens[rare], bits, names)
+                yield _packed(row, *map(np.concatenate, zip(*rare, strict=True)), bits, names)
             seen += len(batch)
 
     return run
@@ -283,7 +476,7 @@ def _deal(shared, bits: int):
 def _packed(
     row: np.ndarray, own: np.ndarray, tokens: np.ndarray, bits: int, names: list[str]
 ) -> pa.RecordBatch:
-    """The rare words of texts, each with how often it occurs, by bucket."""
+    """The rare runs of texts, each with how often it occurs, by bucket."""
     order = np.lexsort((tokens, own))
     own, tokens = own[order], tokens[order]
     fresh = np.ones(len(own), bool)
@@ -326,7 +519,7 @@ def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 _TEXT = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-_PARTS = "part int, rows binary, known binary, logs binary, " + _TEXT
+_PARTS = "part int, rows binary, known binary, logs binary, values binary, " + _TEXT
 _ROW = [x.split()[0] for x in _TEXT.split(", ")]
 
 
@@ -338,16 +531,16 @@ def _arrays(table: pa.Table, **kinds: type) -> list[np.ndarray]:
 
 
 def _join_counts(bits: int):
-    """Look the counts of a bucket's words up. What they add to each text goes on packed by part
+    """Look a bucket's words and longer runs up. What they add to each text goes on packed by part
     of the texts, in which a text's own row already is."""
 
-    def run(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, tree: pa.Table) -> pa.Table:
         packed = texts["tokens"].is_valid()
         own = texts.filter(pa.compute.invert(packed))
         out = pa.table(
             {
                 "part": own["bucket"],
-                **{c: pa.nulls(len(own), pa.binary()) for c in ("rows", "known", "logs")},
+                **{c: pa.nulls(len(own), pa.binary()) for c in ("rows", "known", "logs", "values")},
                 **{c: own[c] for c in _ROW},
             }
         )
@@ -357,16 +550,18 @@ def _join_counts(bits: int):
         rows, sizes, tokens, times = _arrays(
             texts, rows=np.int64, sizes=np.uint32, tokens=np.uint64, times=np.uint32
         )
-        keys = vocabulary["key"].to_numpy().view(np.uint64)
+        keys = tree["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         at = _look_up(tokens, keys[order])
-        n = _take(vocabulary["n"].to_numpy()[order], at)
-        logs = np.where(at >= 0, np.log10(n + 1.0), 0.0) * times
+        found = at >= 0
+        n = np.where(found, _take(tree["n"].to_numpy()[order], at), 0)
+        values = np.where(found, _take(tree["value"].to_numpy()[order], at), 0.0) * times
         begin = np.cumsum(sizes, dtype=np.int64) - sizes
-        logs = np.add.reduceat(logs, begin)
-        known = np.add.reduceat(np.where(at >= 0, times, 0).astype(np.int64), begin)
-        some = known > 0
-        rows, logs, known = rows[some], logs[some], known[some].astype(np.uint32)
+        logs = np.add.reduceat(np.log10(n + 1.0) * times, begin)
+        values = np.add.reduceat(values, begin)
+        known = np.add.reduceat(np.where(n > 0, times, 0).astype(np.int64), begin)
+        some = np.add.reduceat(found.astype(np.int64), begin) > 0
+        rows, logs, values, known = rows[some], logs[some], values[some], known[some].astype(np.uint32)
         part = _part(rows, bits)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -378,6 +573,7 @@ def _join_counts(bits: int):
                 "rows": _blobs(rows[order], bounds),
                 "known": _blobs(known[order], bounds),
                 "logs": _blobs(logs[order], bounds),
+                "values": _blobs(values[order], bounds),
                 **{f.name: pa.nulls(len(first), f.type) for f in out.schema if f.name in _ROW},
             }
         )
@@ -397,16 +593,19 @@ def _whole(table: pa.Table) -> pa.Table:
     table = table.filter(packed)
     if not len(table):
         return own
-    rows, known, logs = _arrays(table, rows=np.int64, known=np.uint32, logs=np.float64)
+    rows, known, logs, values = _arrays(
+        table, rows=np.int64, known=np.uint32, logs=np.float64, values=np.float64
+    )
     # Summed in the order of size, so that the result does not depend on how buckets arrive.
-    order = np.lexsort((logs, rows))
+    order = np.lexsort((values, logs, rows))
     at = np.searchsorted(own["row"].to_numpy(), rows[order])
     known = np.bincount(at, known[order], len(own)).astype(np.int64)
     logs = np.bincount(at, logs[order], len(own))
+    values = np.bincount(at, values[order], len(own))
     changed = {
         "n_known": own["n_known"].to_numpy() + known,
         "base": own["base"].to_numpy() + logs,
-        "score": own["score"].to_numpy() + logs,
+        "score": own["score"].to_numpy() + logs + values,
     }
     return pa.table({c: changed.get(c, own[c]) for c in _ROW})
 
@@ -424,13 +623,14 @@ def score(
     vocabulary = scratch.materialise(_counts(texts, lambda t, b: t.view(np.int64)))
     corpus, distinct = vocabulary.agg(F.sum("n"), F.count("*")).first()
     corpus = corpus or 0
-    tree = learn(texts, vocabulary, corpus, distinct)
+    size = float(np.log10(corpus + distinct + 1))
+    tree, longest = _grow(texts, vocabulary, corpus, size)
 
     bits = max(3, (int(corpus) // BUCKET_TOKENS).bit_length())
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(_hot(tree, corpus, size, longest))
     dealt = rows.mapInArrow(_deal(shared, bits), _DEALT)
     bucket = F.shiftrightunsigned("key", 64 - bits).cast("int").alias("bucket_")
-    counts = vocabulary.select(bucket, "key", "n")
+    counts = tree.select(bucket, "key", "n", "value")
     parts = (
         dealt.groupBy("bucket")
         .cogroup(counts.groupBy("bucket_"))
