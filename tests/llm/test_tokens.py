@@ -47,6 +47,15 @@ def test_the_table_starts_anew_when_full(library, monkeypatch):
         assert ids.tolist() == _ids(library, text)
 
 
+def test_one_text_with_more_fragments_than_the_table_has_places(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_ROWS", 64)
+    own = bpe.Codec(PATH)
+    text = " ".join(f"q{k}x{k * 7919}" for k in range(2000)) + " " + "ab" * 50
+    sizes, ids = next(own.encode(pa.array([text]), True))
+    assert ids.tolist() == _ids(library, text) and sizes.tolist() == [len(ids)]
+    assert next(own.encode(pa.array([text]), False))[0].tolist() == [len(ids)]
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))

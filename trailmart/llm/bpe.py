@@ -141,11 +141,28 @@ class _Table:
             at[todo] = (at[todo] + 1) & int(last)
         return at
 
-    def rows(self, raw: bytes, starts: np.ndarray) -> np.ndarray:
-        """The row of each fragment of ``raw``; new ones are encoded first."""
+    def encoded(
+        self, raw: bytes, starts: np.ndarray, lists: bool
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each fragment of ``raw``, and the ids of all if asked.
+
+        Fragments are worked on in chunks of at most half the table's rows, and what is asked of a
+        chunk is gathered before the table may start anew for the next.
+        """
+        step = TABLE_ROWS // 2
+        counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        ends = np.append(starts[1:], len(raw))
+        for lo in range(0, len(starts), step):
+            rows = self.rows(raw, starts[lo : lo + step], ends[lo : lo + step])
+            counts.append(self.counts(rows))
+            if lists:
+                ids.append(self.ids(rows))
+        return np.concatenate(counts), np.concatenate(ids)
+
+    def rows(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The row of each fragment of ``raw``, at most ``TABLE_ROWS``; new ones are encoded first."""
         if self._rows > TABLE_ROWS - len(starts):
             self.clear()
-        ends = np.append(starts[1:], len(raw))
         length = ends - starts
         # The words at every byte; bytes past a fragment's end are masked.
         padded = raw + bytes(16)
@@ -280,10 +297,9 @@ class Codec:
             part = data[offsets[lo] : offsets[hi]]
             begins = offsets[lo : hi + 1] - offsets[lo]
             starts = self.fragments(part, begins)
-            rows = self._table.rows(part.tobytes(), starts)
-            total = np.append(0, np.cumsum(self._table.counts(rows)))
-            sizes = np.diff(total[np.searchsorted(starts, begins)])
-            yield sizes, self._table.ids(rows) if lists else np.zeros(0, np.int32)
+            counts, ids = self._table.encoded(part.tobytes(), starts, lists)
+            total = np.append(0, np.cumsum(counts))
+            yield np.diff(total[np.searchsorted(starts, begins)]), ids
 
 
 def decoder(path: str) -> Decoder:
