@@ -86,6 +86,15 @@ def test_sample_does_not_depend_on_partitions(odd_docs):
     assert language.learn(odd_docs) == language.learn(odd_docs.repartition(7))
 
 
+def test_copies_take_no_place_in_the_sample(spark):
+    own = spark.range(300).selectExpr("'en' as lang", "concat('text number ', id) as text")
+    copies = spark.range(200_000).selectExpr("'en' as lang", "'the same text' as text")
+    pieces = 64
+    sample = language.learn(own.union(copies), pieces=pieces)["en"].decode()
+    assert sample.count("number") + sample.count("same") == pieces
+    assert sample == language.learn(own.union(copies.limit(1)), pieces=pieces)["en"].decode()
+
+
 def test_passages_are_those_of_all_windows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")

@@ -26,6 +26,8 @@ UNKNOWN = "und"
 #: The dictionaries are fitted on a sample: so many pieces of so many characters for a language.
 SAMPLE_PIECES = 256
 PIECE_CHARS = 800
+#: Parts of a language's pieces that are put in order apart.
+PARTS = 64
 #: More languages than this are refused, so that the dictionaries stay small (50 MB at most).
 MAX_LANGUAGES = 256
 BLOCK_BYTES = 2048
@@ -51,25 +53,21 @@ def learn(
     rows = labelled.select(
         F.col(lang_col).alias("lang"), F.lower(F.col(text_col)).alias("text")
     ).where("lang is not null and trim(text) != ''")
-    counts = {r["lang"]: r["n"] for r in _few(rows.groupBy("lang").agg(F.count("*").alias("n")))}
-    if not counts:
+    if not _few(rows.select("lang").distinct()):
         return {}
     place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - piece_chars, F.lit(0)) + 1)
     cut = rows.select(
         "lang", F.substring(F.col("text"), (place + 1).cast("int"), F.lit(piece_chars)).alias("piece")
     )
-    # A language's share of the hash range holds about eight times the pieces that are kept.
-    shares = F.create_map(
-        *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 8 * pieces / n))]
-    )
-    order = F.xxhash64("piece", F.lit("sample"))
-    small = (
-        cut.withColumn("order", order)
-        .where(F.pmod("order", F.lit(1 << 20)) < F.element_at(shares, F.col("lang")) * (1 << 20))
-        .dropDuplicates(["lang", "order"])
-    )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    taken = small.withColumn("rank", rank).where(F.col("rank") <= pieces)
+    # Each hash once, then the first of each part of a language's hashes and of all its parts, so
+    # that neither copies nor a common language load one task. Only hashes are dealt out.
+    cut = cut.withColumn("order", F.xxhash64("piece", F.lit("sample")))
+    first = cut.select("lang", "order").distinct()
+    part = F.pmod("order", F.lit(PARTS))
+    for by in (["lang", part], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("order"))
+        first = first.withColumn("rank", rank).where(F.col("rank") <= pieces)
+    taken = cut.join(F.broadcast(first), ["lang", "order"]).groupBy("lang", "rank").agg(F.min("piece").alias("piece"))
     texts: dict[str, list[tuple[int, str]]] = {}
     for r in taken.select("lang", "rank", "piece").collect():
         texts.setdefault(r["lang"], []).append((r["rank"], r["piece"]))
