@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart import scratch
-from trailmart.llm import binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, suffix_tree
+from trailmart.llm import binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, substrings, suffix_tree
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -111,6 +111,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of twenty words that occurred before."""
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_link_trust,
         op10_token_counts,
+        op13_substring_dedup,
     )
 }
 
@@ -146,4 +153,17 @@ r as (select doc_id, doc_id other from s union select r.doc_id, l.b from r join
 select s.doc_id, len(s)::bigint n_shingles, min(r.other) component_id
 from s join r using (doc_id) group by s.doc_id, s.s""",
     "op9_link_trust": hosts_sql.judge_sql(RULES),
+    "op13_substring_dedup": r"""
+with w as materialized (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+g as materialized (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') g from (select doc_id, w, unnest(range(1, len(w) - 18)) i from w)),
+later as (select doc_id, i from g qualify row_number() over (partition by g order by doc_id, i) > 1),
+gone as (select distinct doc_id, i + unnest(range(20)) i from later),
+p as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) i from w),
+k as (
+  select p.doc_id, string_agg(word, ' ' order by p.i) filter (gone.i is null) kept, count(gone.i) n
+  from p left join gone on gone.doc_id = p.doc_id and gone.i = p.i group by p.doc_id)
+select w.doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256
+from w left join k using (doc_id)""",
 }
