@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart import scratch
-from trailmart.llm import binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, substrings, suffix_tree
+from trailmart.llm import audit, binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, substrings, suffix_tree
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -111,6 +111,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source, in every order."""
+    failed = audit.failures(_table(spark, sf_dir, "documents"))
+    return audit.audit(audit.combinations(failed, _table(spark, sf_dir, "labels")))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of twenty words that occurred before."""
     kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_link_trust,
         op10_token_counts,
+        op11_filter_audit,
         op13_substring_dedup,
     )
 }
@@ -153,6 +160,41 @@ r as (select doc_id, doc_id other from s union select r.doc_id, l.b from r join
 select s.doc_id, len(s)::bigint n_shingles, min(r.other) component_id
 from s join r using (doc_id) group by s.doc_id, s.s""",
     "op9_link_trust": hosts_sql.judge_sql(RULES),
+    "op11_filter_audit": r"""
+with t as (select doc_id, coalesce(source, '') part, coalesce(text, '') t from documents),
+w as (
+  select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') w,
+    min(doc_id) over (partition by t) earliest from t),
+d as materialized (
+  select doc_id, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > earliest, false)] f from w),
+l as (select doc_id, max(coalesce(quality = 1, false)::int) good, max(coalesce(toxic = 1, false)::int) toxic
+  from labels group by doc_id),
+c as materialized (
+  select part, f, count(*) n, sum(coalesce(good, 0)) good, sum(coalesce(toxic, 0)) toxic
+  from d left join l using (doc_id) group by part, f),
+x as (select unnest(range(1, 6)) x),
+o as (
+  select [a.x, b.x, c.x, d.x, e.x] o from x a, x b, x c, x d, x e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select o, unnest(range(1, 6)) step from o),
+r as (
+  select part, list_aggregate(list_transform(o, lambda k: substr('ABCDE', k, 1)), 'string_agg', '') filter_order, step,
+    n, good, toxic, o[step] own, f[o[step]] fails, len(list_filter(o[1:step - 1], lambda k: f[k])) earlier,
+    len(list_filter(f, lambda b: b)) failed
+  from c, s),
+g as materialized (
+  select part, filter_order, step, own, sum(n) filter (earlier = 0 and not fails) kept,
+    sum(n) filter (earlier = 0 and fails) removed, sum(n) filter (earlier > 0 and fails) redundant,
+    sum(n) filter (fails and failed = 1) unique_fails, sum(good) filter (earlier = 0 and fails) good_lost,
+    sum(toxic) filter (earlier = 0 and fails) toxic_lost
+  from r group by part, filter_order, step, own)
+select part, filter_order, step, coalesce(kept, 0)::bigint kept, coalesce(removed, 0)::bigint removed,
+  coalesce(redundant, 0)::bigint redundant, coalesce(unique_fails, 0)::bigint unique_fails,
+  coalesce(good_lost, 0)::bigint good_lost, coalesce(toxic_lost, 0)::bigint toxic_lost,
+  (sum(coalesce(removed, 0)) over (partition by part, own))::bigint shapley
+from g""",
     "op13_substring_dedup": r"""
 with w as materialized (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
