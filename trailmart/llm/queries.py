@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart import scratch
-from trailmart.llm import audit, binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, shards, substrings, suffix_tree
+from trailmart.llm import audit, binary, bpe, counts, decontaminate, hosts, hosts_sql, jaccard, language, neighbours, prefix_trie, shards, substrings, suffix_tree
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -117,6 +117,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(audit.combinations(failed, _table(spark, sf_dir, "labels")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the rebuilt conversations."""
+    turns, lengths = prefix_trie.rebuilt(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, lengths)
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of twenty words that occurred before."""
     kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
@@ -137,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_link_trust,
         op10_token_counts,
         op11_filter_audit,
+        op12_prefix_trie,
         op13_substring_dedup,
     )
 }
@@ -195,6 +202,34 @@ select part, filter_order, step, coalesce(kept, 0)::bigint kept, coalesce(remove
   coalesce(good_lost, 0)::bigint good_lost, coalesce(toxic_lost, 0)::bigint toxic_lost,
   (sum(coalesce(removed, 0)) over (partition by part, own))::bigint shapley
 from g""",
+    "op12_prefix_trie": r"""
+with t as materialized (select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t),
+c as materialized (
+  select conv_id c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+    order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) own
+  from conversations where conv_id is not null group by conv_id),
+h as (
+  select c, own, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(c::varchar) + 1),
+    lambda i: ascii(substr(c::varchar, i, 1))::bigint)),
+    lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1])), 4294967295) % 4 h from c, t),
+r as materialized (
+  select h.c, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) s
+  from h left join c b on b.c = h.c - h.c % 20),
+p as materialized (
+  select c, d, s[1:d] k, len(s) = d ends from (select c, s, unnest(range(len(s) + 1)) d from r)),
+n as materialized (
+  select k, d, min(c) c, count(*) n,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) ends from p group by k, d),
+x as materialized (
+  select n.*, u.c up, (select count(*) from n m where m.d = n.d + 1 and m.k[1:n.d] = n.k) kids,
+    case when d = 0 then 0 else (n - 1) * len(list_filter(regexp_split_to_array(k[d].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) end saved
+  from n left join (select k uk, c from n) u on n.d > 0 and u.uk = n.k[1:n.d - 1]),
+z as (select k[1:v] k, sum((kids = 0)::int) leaves, sum(saved) saved
+  from (select k, kids, saved, unnest(range(d + 1)) v from x) group by 1)
+select x.c conv_id, x.d depth, x.up parent_conv_id, x.n n_convs, x.kids n_children,
+  z.leaves::bigint n_leaves, z.saved::bigint saved_tokens, x.ends ends_sha256
+from x join z using (k)""",
     "op13_substring_dedup": r"""
 with w as materialized (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
