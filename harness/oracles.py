@@ -159,6 +159,7 @@ def _with(sql: str) -> str:
 
 
 _LAST_WEEK = "cre_dtm between '2024-01-24' and '2024-01-30'"
+_THREE_DAYS = "cre_dtm in ('2024-01-03', '2024-01-15', '2024-01-29')"
 _SHIFTED = (
     "strftime(ts + interval 9 hour, '%Y-%m-%dT%H:%M:%S') || "
     "case when microsecond(ts) % 1000000 = 0 then '' "
@@ -288,6 +289,17 @@ _QUERIES = {
         'select r."memberId", r.cid, r.score, p.id, p.name from recommendations r '
         "left join places p on p.ml_mapping_id = r.cid where r.\"memberId\" = '7'"
     ),
+    "recommendations_in_order": (
+        "select *, row_number() over (partition by cre_dtm order by \"memberId\" nulls first, "
+        'cid nulls first, etl_dtm, name nulls first, score, "traceId") as position '
+        "from recommendations"
+    ),
+    "recounted_days": (
+        f"select cre_dtm, \"count\", '{SECOND_RUN}.000000' as etl_dtm from created_again "
+        f"where {_THREE_DAYS} union all "
+        f"select cre_dtm, \"count\", '{FIRST_RUN}.000000' as etl_dtm from created "
+        f"where not {_THREE_DAYS}"
+    ),
     "most_recommended": "select * from popular",
     "popular_fallback": (
         'select m."memberId", p.cid, p."count" from members m, popular p where m."memberId" '

@@ -15,6 +15,7 @@ from trailmart.plans import aggregates, cleansing, convert, recommend, serving
 from trailmart.sinks import files as sinks
 from trailmart.sinks import marts as mart_sinks
 from trailmart.sources import files, logs, marts
+from trailmart.sources import versions as version_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,10 +75,14 @@ def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recommendation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The recommendation mart as its readers find it, on disk and partitioned by day."""
+    """The recommendation mart as its readers find it, on disk, by day, member and cid."""
+    return marts.read_mart(spark, _recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
+
+
+def _recommendation_folder(spark: SparkSession, sf_dir: str) -> str:
     mart = scratch.new_folder(spark, "mart")
-    sinks.replace_partitions(_recommendations(spark, sf_dir), mart, schemas.DAY_PARTITION)
-    return marts.read_mart(spark, mart, schemas.RECOMMENDATION)
+    recommend.load_recommendations(spark, scratch.materialise(_recommendations(spark, sf_dir)), mart)
+    return mart
 
 
 def _json_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -285,6 +290,28 @@ def recommendations_of_one_member(spark, sf_dir):
     return serving.recommended_places(mine, inputs.places(spark, sf_dir))
 
 
+@query
+def recommendations_in_order(spark, sf_dir):
+    return version_source.read_in_order(spark, _recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
+
+
+@query
+def recounted_days(spark, sf_dir):
+    """Groups per day after requests of three days were delivered again and only those days counted."""
+    def count(logs):
+        return aggregates.created_group_counting(logs, logs_run)
+
+    log_mart, mart = (scratch.new_folder(spark, name) for name in ("logs", "mart"))
+    logs_run = FIRST_RUN
+    first = cleansing.load_log_mart(spark, _cleansed(spark, sf_dir), log_mart)
+    aggregates.refresh_aggregate(spark, log_mart, mart, count)
+    logs_run = SECOND_RUN
+    again = _redelivered(spark, sf_dir).filter("cre_dtm in ('2024-01-03', '2024-01-15', '2024-01-29')")
+    cleansing.load_log_mart(spark, again, log_mart)
+    aggregates.refresh_aggregate(spark, log_mart, mart, count, since=first.number)
+    return marts.read_mart(spark, mart, schemas.GROUP_COUNTING)
+
+
 @query
 def most_recommended(spark, sf_dir):
     return serving.most_recommended(_recommendation_mart(spark, sf_dir))

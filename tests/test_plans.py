@@ -261,7 +261,7 @@ def test_conversions(spark, tmp_path):
     log = {"traceId": "1", "url": "http://h/a", "method": "GET", "request": '{"a": "x, y"}'}
     (tmp_path / "a.json").write_text(json.dumps(log))
     convert.json_to_parquet(spark, f"{tmp_path}/a.json", f"{tmp_path}/pq")
-    (row,) = spark.read.parquet(f"{tmp_path}/pq").collect()
+    (row,) = marts.read_mart(spark, f"{tmp_path}/pq").collect()
     assert (row.url, row.method, row.request) == ("/a", "GET", '{"a": "x, y"}')
     convert.json_to_csv(spark, f"{tmp_path}/a.json", f"{tmp_path}/csv")
     convert.csv_to_parquet(spark, f"{tmp_path}/csv", f"{tmp_path}/pq2")
@@ -280,7 +280,7 @@ def test_a_request_that_moves_leaves_no_old_row(spark, folder):
 
     load("/a", "GET", "2024-01-03 01:00:00")
     load("/z", "PUT", "2024-01-03 02:00:00")
-    rows = spark.read.parquet(f"{folder}/mart").select("traceId", "url_part", "method").collect()
+    rows = marts.read_mart(spark, f"{folder}/mart").select("traceId", "url_part", "method").collect()
     assert sorted(map(tuple, rows)) == [("t1", "_z", "PUT"), ("t2", "_b", "GET")]
 
 

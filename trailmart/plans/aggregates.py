@@ -4,7 +4,7 @@ The day is part of every key, so one run serves a day, a period or the whole mar
 are counts that Spark pre-aggregates in the map tasks.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from trailmart import schemas
 from trailmart.functions import payloads, times
 from trailmart.operators import filters
-from trailmart.sinks import marts
+from trailmart.sinks import versions
+from trailmart.sinks.versions import Layout, Load
+from trailmart.sources import versions as log_versions
 
 # Default merge keys of the aggregate marts.
 GROUP_COUNT_KEYS = ["cre_dtm"]
@@ -73,18 +75,33 @@ def by_count(counts: DataFrame, *ties: str) -> DataFrame:
     return counts.orderBy(F.col("count").desc(), *ties)
 
 
-def load_aggregate(
-    spark: SparkSession,
-    counts: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    staging: str | None = None,
-) -> DataFrame:
-    """Upsert daily counts into their mart; returns the rows of this run.
+def load_aggregate(spark: SparkSession, counts: DataFrame, path: str, keys: Sequence[str]) -> Load:
+    """Upsert daily counts into their mart.
 
     ``serving.export_mart`` copies the merged mart to a database table.
     """
-    return marts.upsert(spark, counts, path, keys, schemas.DAY_PARTITION, staging)
+    return versions.upsert(spark, counts, path, keys, schemas.DAY_PARTITION)
+
+
+def refresh_aggregate(
+    spark: SparkSession,
+    log_mart: str,
+    path: str,
+    count: Callable[[DataFrame], DataFrame],
+    since: int = 0,
+) -> Load | None:
+    """Count again the days of the log mart that changed after its load ``since``, and only those.
+
+    ``count`` makes daily counts of log rows. Their days replace the stored ones whole, so a day
+    that no longer has any row loses its counts. None when no day changed. A run that is
+    repeated counts the same days again and stores the same rows.
+    """
+    changed = log_versions.changed_days(spark, log_mart, since)
+    if not changed:
+        return None
+    logs = log_versions.read_days(spark, log_mart, log_versions.manifest(spark, log_mart), changed)
+    base = log_versions.manifest(spark, path)
+    return versions.publish(spark, count(logs), path, Layout(schemas.DAY_PARTITION), changed, base)
 
 
 def total(df: DataFrame, column: str) -> DataFrame:

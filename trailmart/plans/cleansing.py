@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from trailmart import schemas
 from trailmart.functions import payloads, text, times, urls
 from trailmart.operators import filters, ranking
-from trailmart.sinks import marts
+from trailmart.sinks import versions
+from trailmart.sinks.versions import Load
 
 
 def cleanse_logs(
@@ -55,17 +56,18 @@ def load_log_mart(
     cleansed: DataFrame,
     path: str,
     keys: Sequence[str] = ("cre_dtm", "traceId"),
-    staging: str | None = None,
-) -> DataFrame:
+    max_folders: int = versions.MAX_FOLDERS,
+) -> Load:
     """Upsert cleansed logs into the log mart, so that a day can be loaded again.
 
     A request delivered again keeps its request time and so its day; with the day among the keys
     only the days of the batch are read and rewritten. ``keys=("traceId",)`` also finds copies
     on other days, at the price of a pass over the whole mart. Requests without a trace id are
-    known by their content, so all of them stay and a rerun does not store them twice.
+    known by their content, so all of them stay and a rerun does not store them twice. Routes that
+    make more than ``max_folders`` folders are refused, and the mart stays as it was.
     """
-    return marts.upsert(
-        spark, cleansed, path, keys, schemas.LOG_PARTITIONS, staging, optional="traceId"
+    return versions.upsert(
+        spark, cleansed, path, keys, schemas.LOG_PARTITIONS, optional="traceId", max_folders=max_folders
     )
 
 

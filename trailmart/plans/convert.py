@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from trailmart.functions import urls
 from trailmart.sinks import files as sinks
+from trailmart.sinks import versions
+from trailmart.sinks.versions import Load
 from trailmart.sources import files, logs
 
 
@@ -15,11 +17,14 @@ def json_to_parquet(
     paths: files.Paths,
     out: str,
     partitions: Sequence[str] = ("url", "method"),
-    max_folders: int | None = None,
-) -> None:
-    """Append JSON logs to a partitioned Parquet folder, origins removed from the urls."""
+    max_folders: int = versions.MAX_FOLDERS,
+) -> Load:
+    """Append JSON logs to a partitioned mart, origins removed from the urls; ``marts.read_mart`` reads it.
+
+    Urls that make more than ``max_folders`` folders are refused while nothing is published.
+    """
     read = logs.read_logs(spark, paths).withColumn("url", urls.strip_origin(F.col("url")))
-    sinks.append_partitions(read, out, partitions, max_folders)
+    return versions.append(spark, read, out, partitions, max_folders)
 
 
 def csv_to_parquet(spark: SparkSession, paths: files.Paths, out: str) -> None:

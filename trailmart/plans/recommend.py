@@ -1,16 +1,20 @@
 """The recommendation mart: each member's favourite place and places like it."""
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart import schemas
 from trailmart.functions import payloads, times
 from trailmart.operators import filters, ranking, scores
 from trailmart.operators.joins import lookup_join
+from trailmart.sinks import versions
+from trailmart.sinks.versions import Layout, Load
 
 _MEMBER_DAY = ["cre_dtm", "memberId"]
+LAYOUT = Layout(schemas.DAY_PARTITION, order=("memberId", "cid"), blooms=("memberId",))
 
 
 def place_views(logs: DataFrame, day: str | date | None = None) -> DataFrame:
@@ -119,6 +123,17 @@ def member_place_recommend(
     )
 
 
+def load_recommendations(
+    spark: SparkSession, rows: DataFrame, path: str, days: Sequence[str | date] | None = None
+) -> Load:
+    """Replace days of the recommendation mart, by default those of ``rows``.
+
+    A day's rows lie in the order of member and cid, so that ``versions.read_in_order`` gives it
+    without a sort, and a lookup of a member opens the row groups that can hold it.
+    """
+    return versions.replace_days(spark, rows, path, LAYOUT, days)
+
+
 def latest_per_member(recommendations: DataFrame) -> DataFrame:
     """One row per member, the newest."""
     return ranking.latest_by(recommendations, ["memberId"])

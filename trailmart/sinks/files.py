@@ -6,6 +6,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmart import storage
+
 
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of each output folder together, so that tasks do not write everywhere.
@@ -62,28 +64,18 @@ def resume_day(
 ) -> bool:
     """Replace a day by its staged rows, if they were written whole; False when there are none."""
     staged = _staged_day(path, day, column, staging)
-    whole = _hadoop_path(spark, f"{staged}/_SUCCESS")
-    if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
+    if not storage.exists(spark, f"{staged}/_SUCCESS"):
         return False
     rows = spark.read.parquet(staged)
     wanted = F.col(column).eqNullSafe(F.lit(str(day)).cast("date"))
     if not rows.filter(~wanted).isEmpty():
-        _delete(spark, staged)
+        storage.delete(spark, staged)
         raise ValueError(f"rows of other days than {day}")
     rows.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
-    _delete(spark, staged)
+    storage.delete(spark, staged)
     return True
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = _hadoop_path(spark, path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace exactly the folders that ``df`` has rows for, so that days can be loaded again."""
     (
@@ -95,18 +87,6 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None
     )
 
 
-def clear_values(df: DataFrame, path: str, column: str) -> None:
-    """Delete the folders of the first partition column's values that ``df`` holds.
-
-    There are as many as the column has values in ``df``, such as the days of a batch.
-    """
-    spark = df.sparkSession
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    root = path.rstrip("/")
-    for (value,) in df.select(F.col(column).cast("string")).distinct().collect():
-        _delete(spark, f"{root}/{named.getPartitionPathString(column, value)}")
-
-
 def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace the whole partitioned folder. ``df`` must not read from it."""
     (

@@ -1,14 +1,11 @@
-"""Keyed upsert into a partitioned Parquet mart."""
+"""Old and new rows of a mart as one frame; ``versions.upsert`` stores such a merge."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from trailmart.operators import ranking
-from trailmart.sinks import files as sinks
-from trailmart.sources import files as sources
 
 
 def merge_latest(
@@ -32,83 +29,3 @@ def merge_latest(
     digest = F.when(F.col(optional).isNull(), F.sha2(content.cast("binary"), 256))
     named = both.withColumn("_content", digest)
     return ranking.latest_by(named, [*keys, "_content"], order_col).drop("_content")
-
-
-def _read_old(spark: SparkSession, path: str, new: StructType) -> DataFrame:
-    """The mart with the types of ``new``, and with any columns that only the mart has."""
-    found = sources.or_none(lambda: spark.read.parquet(path))
-    kept = [] if found is None else found.schema.fields
-    extra = [f for f in kept if f.name not in new.names]
-    return sources.parquet_or_empty(spark, path, StructType([*new.fields, *extra]))
-
-
-def _replace(merged: DataFrame, path: str, partitions: Sequence[str], whole: bool) -> None:
-    if whole:
-        sinks.overwrite_partitions(merged, path, partitions)
-    else:
-        # A row may have moved to another folder below its value, so the value is replaced whole.
-        sinks.clear_values(merged, path, partitions[0])
-        sinks.append_partitions(merged, path, partitions)
-
-
-def _mark(spark: SparkSession, staging: str, *pending: tuple[bool]) -> None:
-    """Note that merged rows wait to be moved into the mart, or that none do."""
-    sinks.overwrite(spark.createDataFrame(list(pending), "whole boolean"), f"{staging}/pending")
-
-
-def resume(spark: SparkSession, path: str, partitions: Sequence[str], staging: str) -> bool:
-    """Finish an upsert that stopped while it replaced the mart; False when there is none."""
-    marked = sources.parquet_or_empty(spark, f"{staging}/pending", "whole boolean").first()
-    if marked is None:
-        return False
-    _replace(spark.read.parquet(f"{staging}/merged"), path, partitions, marked.whole)
-    _mark(spark, staging)
-    return True
-
-
-def upsert(
-    spark: SparkSession,
-    new: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partitions: Sequence[str],
-    staging: str | None = None,
-    order_col: str = "etl_dtm",
-    optional: str | None = None,
-) -> DataFrame:
-    """Merge ``new`` into the mart at ``path`` and return the new rows as they were stored.
-
-    The mart is never overwritten from a plan that reads it: new rows and the merged result are
-    first written under ``staging`` (by default beside the mart; each run reuses the folder), and
-    the mart is replaced from there. A run that stops in that last step, when some folders are
-    already gone, is finished from its staged rows by the next run. Staged tables are not
-    partitioned, so rows are arranged by folder only once, for the mart.
-
-    When the keys include the first partition column, a row can only meet rows of its own
-    partition value. Then only the values present in ``new`` are read and replaced, however large
-    the mart is. Other keys can move rows between partitions and empty some, so the whole mart is
-    merged and replaced. Only one run may write to a mart at a time. For ``optional`` see
-    ``merge_latest``.
-    """
-    staging = (staging or path.rstrip("/") + "_staging").rstrip("/")
-    first = partitions[0]
-    resume(spark, path, partitions, staging)
-    sinks.overwrite(new, f"{staging}/new")
-    staged = sources.parquet_or_empty(spark, f"{staging}/new", new.schema)
-    old = _read_old(spark, path, new.schema)
-    whole = first not in keys
-    if not whole:
-        # One value per day in the batch: a short list, and a static filter prunes the scan.
-        values = [row[0] for row in staged.select(first).distinct().collect()]
-        known = [v for v in values if v is not None]
-        touched = F.col(first).isin(known) if known else F.lit(False)
-        if len(known) < len(values):
-            touched = touched | F.col(first).isNull()
-        old = old.filter(touched)
-    merged = merge_latest(old, staged, keys, order_col, optional)
-    sinks.overwrite(merged, f"{staging}/merged")
-    _mark(spark, staging, (whole,))
-    ready = sources.parquet_or_empty(spark, f"{staging}/merged", merged.schema)
-    _replace(ready, path, partitions, whole)
-    _mark(spark, staging)
-    return staged

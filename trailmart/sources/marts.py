@@ -1,4 +1,4 @@
-"""Readers of partitioned Parquet marts."""
+"""Readers of partitioned Parquet marts, plain folders or versions behind a manifest."""
 
 from datetime import date, timedelta
 from functools import partial
@@ -6,7 +6,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.sources import files
+from trailmart.sources import files, versions
 
 
 def as_date(day: str | date) -> date:
@@ -17,8 +17,10 @@ def read_mart(spark: SparkSession, path: str, schema: str | None = None) -> Data
     """The whole mart; filters on partition columns prune folders.
 
     With a ``schema`` partition values keep their declared types; without one a text column whose
-    values all look like numbers would come back as numbers.
+    values all look like numbers would come back as numbers; a manifest brings one.
     """
+    if versions.is_versioned(spark, path):
+        return versions.read_days(spark, path, versions.manifest(spark, path), schema=schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
@@ -34,6 +36,12 @@ def read_partition(
 
     ``keep_column=False`` leaves the partition column out, as a bare folder read does.
     """
+    if versions.is_versioned(spark, path):
+        known, folder = versions.manifest(spark, path), f"{column}={as_date(day)}"
+        if folder not in known.days:
+            raise FileNotFoundError(f"{path} has no {folder}")
+        rows = versions.read_days(spark, path, known, [folder])
+        return rows if keep_column else rows.drop(column)
     reader = spark.read.option("basePath", path) if keep_column else spark.read
     return reader.parquet(f"{path.rstrip('/')}/{column}={as_date(day)}/")
 
@@ -61,6 +69,13 @@ def read_period(
     schema: str | None = None,
 ) -> DataFrame:
     """A period of a mart in one scan; days without a folder are skipped unless required."""
+    if versions.is_versioned(spark, path):
+        known = versions.manifest(spark, path)
+        wanted = [f"{column}={day}" for day in days_ending(end_day, days)]
+        missing = [folder for folder in wanted if folder not in known.days]
+        if require_all_days and missing:
+            raise FileNotFoundError(f"{path} has no {', '.join(missing)}")
+        return versions.read_days(spark, path, known, wanted, schema)
     if require_all_days:
         root = path.rstrip("/")
         folders = {str(day): f"{root}/{column}={day}" for day in days_ending(end_day, days)}
