@@ -268,6 +268,10 @@ _QUERIES = {
         "select p.*, cast(100000 + k as varchar) as cid, round(1.0 / k, 6) as score "
         "from pairs p, range(1, 6) a(k)"
     ),
+    "answers_from_store": (
+        "select p.*, case when cast(\"memberId\" as bigint) % 2 = 0 then 'early' else 'late' end "
+        "|| cast(k as varchar) as cid, 1.0 / k as score from pairs p, range(1, 3) a(k)"
+    ),
     "explode_recommendations": (
         'select "memberId", ml_mapping_id, cid, round(score, 6) as score from scored'
     ),
@@ -311,6 +315,14 @@ _QUERIES = {
         'select m."memberId", p.cid, null, p."count" from members m, popular p '
         'where m."memberId" not in (select "memberId" from recommendations)'
     ),
+    "places_or_popular": (
+        'select r."memberId", p.id, r.cid, r.score, r."count", i.image_path from '
+        '(select "memberId", cid, score, null::bigint as "count" from recommendations '
+        'where "memberId" in (select "memberId" from members) union all '
+        'select m."memberId", p.cid, null, p."count" from members m, popular p '
+        'where m."memberId" not in (select "memberId" from recommendations)) r '
+        "join places p on p.ml_mapping_id = r.cid join images i on i.id = p.id"
+    ),
     "recommendation_coverage": (
         'select "memberId", count(*) as "count" from recommendations where name is not null '
         'and "traceId" is not null group by "memberId"'
@@ -354,6 +366,12 @@ _QUERIES = {
         "select * replace (nullif(request, '') as request) from logs "
         "where not contains(url, '/admin')"
     ),
+    "csv_quarantine": (
+        'select "traceId", "memberId", "time", null::varchar as "brokenLine" from logs '
+        "where \"statusCode\" <> '500' union all "
+        "select null, null, null, \"traceId\" || ',' || \"memberId\" || ',n/a' from logs "
+        "where \"statusCode\" = '500'"
+    ),
     "shift_request_time": (
         f"select cast(event_id as varchar) as \"traceId\", {_SHIFTED} as \"requestTime\" "
         "from events"

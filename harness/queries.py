@@ -256,6 +256,16 @@ def scored_by_fixed_answer(spark, sf_dir):
     return scores.explode_scores(answers)
 
 
+@query
+def answers_from_store(spark, sf_dir):
+    """Half of the members have an answer already; only the others are answered by the new scorer."""
+    store = scratch.new_folder(spark, "answers")
+    pairs = scratch.materialise(_top_places(spark, sf_dir).select("memberId", "ml_mapping_id"))
+    early, late = (scores.fixed_scorer([{f"{kind}{k}": 1.0 / k for k in (1, 2)}]) for kind in ("early", "late"))
+    scores.stored_answers(pairs.where("cast(memberId as bigint) % 2 = 0"), early, store, "m1", partitions=4, lots=2)
+    return scores.explode_scores(scores.stored_answers(pairs, late, store, "m1", partitions=4, lots=3))
+
+
 @query
 def explode_recommendations(spark, sf_dir):
     top_places = scratch.materialise(_top_places(spark, sf_dir))
@@ -331,6 +341,16 @@ def recommendations_or_popular(spark, sf_dir):
     )
 
 
+@query
+def places_or_popular(spark, sf_dir):
+    return serving.places_or_popular(
+        _recommendation_mart(spark, sf_dir),
+        inputs.members(spark, sf_dir),
+        inputs.places(spark, sf_dir),
+        inputs.place_images(spark, sf_dir),
+    )
+
+
 @query
 def recommendation_coverage(spark, sf_dir):
     return serving.recommendation_coverage(_recommendation_mart(spark, sf_dir))
@@ -451,6 +471,16 @@ def salvage_through_csv(spark, sf_dir):
     return files.csv_strict(spark, f"{folder}/step1", schemas.RAW_LOG)
 
 
+@query
+def csv_quarantine(spark, sf_dir):
+    """Both parts of CSV files in which failed requests have a time that is no number."""
+    folder = scratch.new_folder(spark, "csv")
+    time = F.when(F.col("statusCode") == "500", "n/a").otherwise(F.col("time").cast("string"))
+    sinks.overwrite_csv(inputs.raw_logs(spark, sf_dir).select("traceId", "memberId", time.alias("time")), folder)
+    kept, rejected = files.csv_quarantine(spark, folder, "traceId string, memberId string, time bigint")
+    return kept.unionByName(rejected.select("brokenLine"), allowMissingColumns=True)
+
+
 @query
 def shift_request_time(spark, sf_dir):
     shifted, _ = cleansing.shift_request_time(inputs.raw_logs(spark, sf_dir))

@@ -76,6 +76,18 @@ def test_csv_drops_malformed_lines(spark, tmp_path):
     assert [r.name for r in read.select("name").collect()] == ["a", "c,d"]
 
 
+def test_csv_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,name", "1,a", "x,b", '3,"c,d"', "4", "5,e,f")
+    kept, rejected = files.csv_quarantine(spark, path, "id int, name string")
+    strict = files.csv_strict(spark, path, "id int, name string")
+    assert kept.columns == ["id", "name"]
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, strict.collect())) == [(1, "a"), (3, "c,d")]
+    assert sorted(r.brokenLine for r in rejected.collect()) == ["4", "5,e,f", "x,b"]
+    assert all(r.file.endswith("a.csv") for r in rejected.collect())
+    assert kept.count() + rejected.count() == 5
+    assert rejected.select("brokenLine").count() == 3
+
+
 def test_csv_with_nested_json(spark, folder):
     value = json.dumps({"a": json.dumps({"b": 'x "y" \\ z, w'})})
     df = spark.createDataFrame([(value, 1)], "json_str string, n int")
@@ -217,3 +229,15 @@ def test_export_period(spark, mart, monkeypatch):
     assert len(written) == 1
     serving.export_mart(spark, mart, "v int, cre_dtm date", "jdbc:x", "all", "s", {"user": "u"})
     assert written[1] == (4, "jdbc:x", "all", "s", {"user": "u"})
+
+
+def test_exports_pass_the_options_of_the_writer_on(spark, mart, monkeypatch):
+    from trailmart.plans import serving
+
+    said = []
+    monkeypatch.setattr(serving.jdbc_sink, "write_table", lambda df, *rest, **options: said.append((df.schema, options)))
+    options = {"mode": "append", "column_types": "v int", "connections": 2}
+    serving.export_mart(spark, mart, "v int, cre_dtm date", "jdbc:x", "t", **options)
+    serving.export_period(spark, mart, "2024-02-03", "jdbc:x", "t", mart_schema="v bigint, cre_dtm string", **options)
+    assert [o for _, o in said] == [options, options]
+    assert [s.simpleString() for s, _ in said] == ["struct<v:int,cre_dtm:date>", "struct<v:bigint,cre_dtm:string>"]

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trailmart import scratch
+
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key; a NULL key is a key of its own."""
@@ -39,35 +41,28 @@ def latest_by(
     return top_n(df, keys, [F.col(order_col).desc(), *tiebreak])
 
 
-def number_within(
-    df: DataFrame,
-    key: str,
-    order: Sequence[Column],
-    part: Column,
-    name: str,
-) -> DataFrame:
+def number_within(df: DataFrame, key: str, order: Sequence[Column], name: str) -> DataFrame:
     """Number the rows of each ``key`` from 1 in ``order``, a large key in several tasks.
 
-    The rows of a key are split by ``part``, a whole number that never falls along ``order``, and
-    numbered inside each part; a part starts where the parts before it end. So the numbers do not
-    depend on how finely ``part`` cuts. Only keys with several parts appear on the small side of
-    the join.
+    All rows are sorted in ranges of key and order and stored, so ranges may cut a key anywhere.
+    Only the ranges' parts of keys are counted, and a part starts where the parts before it end.
+    Rows that are equal in key and order share a range, in any sequence. The frame is computed
+    twice, once for the bounds of the ranges.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # As a struct the key is never NULL, so a NULL key groups and joins like any other.
-    place = ["_key", "_part"]
-    split = df.withColumns(
-        {"_key": F.struct(key), "_part": F.coalesce(part.cast("bigint"), F.lit(2**63 - 1))}
-    )
-    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    named = df.withColumn("_key", F.struct(key))
+    sorting = [F.col("_key"), *order]
+    ranges = named.repartitionByRange(parts, *sorting).sortWithinPartitions(*sorting)
+    # The number of the range in the upper bits, the place in it below.
+    stored = scratch.materialise(ranges.withColumn("_at", F.monotonically_increasing_id()))
+    placed = stored.withColumn("_range", F.call_function("shiftright", F.col("_at"), F.lit(33)))
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        split.groupBy(*place)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_start", F.sum("_rows").over(before))
-        .filter(F.col("_start") > 0)
-        .drop("_rows")
+        placed.groupBy("_key", "_range")
+        .agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+        .withColumn("_base", F.col("_first") - F.coalesce(F.sum("_rows").over(before), F.lit(0)) - 1)
+        .select("_key", "_range", "_base")
     )
-    inside = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
-    numbered = split.withColumn("_inside", inside).join(starts, place, "left")
-    return numbered.withColumn(
-        name, F.col("_inside") + F.coalesce(F.col("_start"), F.lit(0))
-    ).drop(*place, "_inside", "_start")
+    numbered = placed.join(starts, ["_key", "_range"])
+    return numbered.withColumn(name, F.col("_at") - F.col("_base")).select(*df.columns, name)

@@ -8,11 +8,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmart import schemas
+from trailmart import schemas, scratch
+from trailmart.operators import ranking
 from trailmart.operators.joins import lookup_join
+from trailmart.sources import files as sources
 
 Scorer = Callable[[str, str, int], list[dict[str, float]]]
 
@@ -49,6 +51,51 @@ def score_members(
     return spread.mapInPandas(ask, schemas.SCORER_ANSWER)
 
 
+def stored_answers(
+    pairs: DataFrame,
+    scorer: Scorer,
+    store: str,
+    model_version: str,
+    partitions: int,
+    lots: int = 16,
+    top_k: int = schemas.TOP_K,
+    max_in_flight: int = 5,
+) -> DataFrame:
+    """The answers of all pairs, from the table at ``store`` and, for those that it lacks, the scorer.
+
+    The store only grows: a row is the answer of one version of the model for a member and a
+    place. Pairs without one are dealt to ``lots`` by hash, and a lot is asked and appended
+    before the next, so a run that stops loses the answers of one lot and the next run goes on
+    behind it. Two runs at a time may both ask for a pair; the first answer by content counts.
+    """
+    spark, keys = pairs.sparkSession, ["memberId", "ml_mapping_id"]
+    version = F.col("model_version") == model_version
+
+    def stored() -> DataFrame:
+        return sources.parquet_or_empty(spark, store, schemas.STORED_ANSWER).where(version)
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return left[keys[0]].eqNullSafe(right[keys[0]]) & left[keys[1]].eqNullSafe(right[keys[1]])
+
+    wanted = scratch.materialise(pairs.select(*keys).distinct())
+    known = stored().select(*keys).alias("known")
+    lot = F.pmod(F.xxhash64(*keys), F.lit(lots)).alias("lot")
+    missing = scratch.materialise(wanted.join(known, same(wanted, known), "left_anti").select(*keys, lot))
+    for (number,) in missing.select("lot").distinct().orderBy("lot").collect():
+        asked = score_members(missing.where(F.col("lot") == number), scorer, partitions, top_k, max_in_flight)
+        (
+            asked.withColumn("model_version", F.lit(model_version))
+            .write.mode("append")
+            .partitionBy("model_version")
+            .parquet(store)
+        )
+    answers = stored().drop("model_version")
+    # Maps can't be compared, their entries can.
+    content = F.transform("recommendations", lambda m: F.array_sort(F.map_entries(m)))
+    once = ranking.top_n(answers.withColumn("_content", F.to_json(content)), keys, [F.col("_content").asc()])
+    return once.drop("_content").join(wanted.alias("w"), same(once, wanted.alias("w")), "left_semi")
+
+
 def fixed_scorer(answer: Sequence[dict[str, float]]) -> Scorer:
     """A scorer that gives the same answer to everyone, for dry runs without a model."""
     fixed = [dict(scores) for scores in answer]

@@ -3,10 +3,10 @@
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trailmart import schemas
+from trailmart import schemas, scratch
 from trailmart.functions import payloads, times
 from trailmart.operators import filters, ranking, scores
 from trailmart.operators.joins import lookup_join
@@ -94,29 +94,34 @@ def member_place_recommend(
 ) -> DataFrame:
     """The rows of the recommendation mart, out of top places and the scorer's answers.
 
-    Trace ids are numbered per request, best score first, then by cid, day and member. A request
-    that several members share is cut by score, so that no task has to hold all its rows. A
-    recommended place that the dimension does not know keeps a NULL name. Both inputs are used more than once, so materialise answers
-    of a real model first (``trailmart.scratch.materialise``).
+    Trace ids are numbered per request, best score first, then by cid, day and member. Most
+    requests belong to one member and day, so they have a handful of rows and are numbered where
+    they meet. Requests that several share, and rows without one, are looked up first and numbered
+    in ranges, so that no task has to hold all rows of one. A recommended place that the
+    dimension does not know keeps a NULL name, and an answer to a pair that is no top place gives no
+    row. Both inputs are used more than once, so materialise answers of a real model first
+    (``trailmart.scratch.materialise``).
     """
     scored = scores.explode_scores(answers).select("memberId", "ml_mapping_id", "cid", "score")
     context = top_places.select(*_MEMBER_DAY, "ml_mapping_id", "traceId", "etl_dtm")
-    shared = context.groupBy("traceId").count().where("count > 1 and traceId is not null")
-    context = lookup_join(context, shared.select("traceId", F.lit(True).alias("_shared")), ["traceId"])
-    rows = scored.join(context, ["memberId", "ml_mapping_id"], "left")
-    # Descending like the scores: NaN and infinity come first, NULL last.
-    level = F.when(F.isnan("score"), F.lit(-(2**63))).otherwise(F.floor(F.col("score") * -1000))
-    several = F.col("_shared").isNotNull() | F.col("traceId").isNull()
-    numbered = ranking.number_within(
-        rows,
-        "traceId",
-        [F.col("score").desc(), F.col("cid").asc(), *[F.col(c).asc() for c in _MEMBER_DAY]],
-        part=F.when(several, level).otherwise(0),
-        name="_n",
-    )
-    unique = numbered.withColumn(
-        "traceId", F.concat_ws("_", "traceId", F.col("_n").cast("string"))
-    )
+    several = context.groupBy("traceId").count().where("count > 1 or traceId is null")
+    several = scratch.materialise(several.select(F.col("traceId").alias("_shared")))
+    is_shared = F.col("traceId").eqNullSafe(F.col("_shared"))
+    order = [F.col("score").desc(), F.col("cid").asc(), *[F.col(c).asc() for c in _MEMBER_DAY]]
+
+    def rows(context: DataFrame) -> DataFrame:
+        return scored.join(context, ["memberId", "ml_mapping_id"])
+
+    if several.isEmpty():
+        alone, together = context, None
+    else:
+        alone = context.join(several, is_shared, "left_anti")
+        together = ranking.number_within(rows(context.join(several, is_shared, "left_semi")), "traceId", order, "_n")
+    place = F.row_number().over(Window.partitionBy("traceId").orderBy(*order)).cast("bigint")
+    numbered = rows(alone).withColumn("_n", place)
+    if together is not None:
+        numbered = numbered.unionByName(together)
+    unique = numbered.withColumn("traceId", F.concat_ws("_", "traceId", F.col("_n").cast("string")))
     names = places.select(F.col("ml_mapping_id").alias("cid"), "name")
     return lookup_join(unique, names, ["cid"]).select(
         "cid", "memberId", "score", "traceId", "etl_dtm", "cre_dtm", "name"

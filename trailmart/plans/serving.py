@@ -73,6 +73,27 @@ def recommendations_or_popular(
     return own.unionByName(popular.withColumn("score", F.lit(None).cast("double")))
 
 
+def places_or_popular(
+    recommendations: DataFrame,
+    members: DataFrame,
+    places: DataFrame,
+    images: DataFrame,
+    n: int = schemas.TOP_K,
+    image_key: str = "id",
+) -> DataFrame:
+    """(memberId, id, cid, score, count, image_path) for every member: one row per image of each place.
+
+    A member's own places have a score; a member without any gets the places recommended most
+    often, with their counts. Places without an image are left out in either case.
+    """
+    rows = recommendations_or_popular(recommendations, members, n)
+    known = places.select(F.col("ml_mapping_id").alias("cid"), "id")
+    pictured = images.select(F.col(image_key).alias("id"), "image_path")
+    return lookup_join(lookup_join(rows, known, ["cid"], "inner"), pictured, ["id"], "inner").select(
+        "memberId", "id", "cid", "score", "count", "image_path"
+    )
+
+
 def recommendation_coverage(recommendations: DataFrame) -> DataFrame:
     """Complete recommendation rows per member."""
     return recommendations.na.drop().groupBy("memberId").agg(F.count("*").alias("count"))
@@ -86,10 +107,14 @@ def export_mart(
     table: str,
     schema: str | None = None,
     properties: Mapping[str, str] | None = None,
+    **options: str | int | None,
 ) -> DataFrame:
-    """Replace a database table by a whole mart, as it is after its upsert."""
+    """Replace a database table by a whole mart, as it is after its upsert.
+
+    ``options`` are ``mode``, ``column_types`` and ``connections`` of ``sinks.jdbc.write_table``.
+    """
     mart = marts.read_mart(spark, mart_path, mart_schema)
-    jdbc_sink.write_table(mart, url, table, schema, properties)
+    jdbc_sink.write_table(mart, url, table, schema, properties, **options)
     return mart
 
 
@@ -104,15 +129,18 @@ def export_period(
     properties: Mapping[str, str] | None = None,
     min_day: str | date | None = None,
     require_all_days: bool = False,
+    mart_schema: str | None = None,
+    **options: str | int | None,
 ) -> DataFrame | None:
     """Replace a database table by the ``days`` dates up to ``end_day`` of a mart.
 
     Does nothing and returns None before ``min_day``, while the mart is too young for a period.
+    ``options`` are ``mode``, ``column_types`` and ``connections`` of ``sinks.jdbc.write_table``.
     """
     if min_day is not None and marts.as_date(end_day) < marts.as_date(min_day):
         return None
     period = marts.read_period(
-        spark, mart_path, end_day, days, require_all_days=require_all_days
+        spark, mart_path, end_day, days, require_all_days=require_all_days, schema=mart_schema
     )
-    jdbc_sink.write_table(period, url, table, schema, properties)
+    jdbc_sink.write_table(period, url, table, schema, properties, **options)
     return period

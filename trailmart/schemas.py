@@ -42,6 +42,7 @@ RECOMMENDATION = (
 SCORER_ANSWER = (
     "memberId string, ml_mapping_id string, recommendations array<map<string, double>>"
 )
+STORED_ANSWER = SCORER_ANSWER + ", model_version string"
 
 LOG_PARTITIONS = ["cre_dtm", "url_part", "method"]
 DAY_PARTITION = ["cre_dtm"]

@@ -42,6 +42,21 @@ def csv_inferred(spark: SparkSession, paths: Paths, escape: str = "\\") -> DataF
     return spark.read.csv(paths, header=True, inferSchema=True, escape=escape)
 
 
+def _csv(spark: SparkSession, paths: Paths, schema: str, mode: str, escape: str, multi_line: bool) -> DataFrame:
+    lines = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", schemas.BROKEN_LINE)
+        .option("escape", escape)
+        .option("multiLine", multi_line)
+        .csv(paths)
+    )
+    # Spark only checks the columns a query needs. This is always true and needs all of them, so
+    # that every query finds the same lines wanting.
+    return lines.filter(F.pmod(F.xxhash64(*lines.columns), F.lit(1)) == 0)
+
+
 def csv_strict(
     spark: SparkSession,
     paths: Paths,
@@ -53,18 +68,27 @@ def csv_strict(
 
     CSV does not tell empty text from missing text: both come back as NULL. ``multi_line``
     allows line breaks inside quoted values; such files are not split, so keep them small.
+    ``csv_quarantine`` also gives the lines that are left out here.
     """
-    lines = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("escape", escape)
-        .option("multiLine", multi_line)
-        .csv(paths)
-    )
-    # Spark only checks the columns a query needs. This is always true and needs all of them, so
-    # that every query drops the same lines.
-    return lines.filter(F.pmod(F.xxhash64(*lines.columns), F.lit(1)) == 0)
+    return _csv(spark, paths, schema, "DROPMALFORMED", escape, multi_line)
+
+
+def csv_quarantine(
+    spark: SparkSession,
+    paths: Paths,
+    schema: str,
+    escape: str = "\\",
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that ``csv_strict`` gives, and the lines it drops: (file, brokenLine).
+
+    A line is left out if it has another number of values than the header says, or a value that
+    is not of its type. Each frame reads the files for itself.
+    """
+    broken = F.col(schemas.BROKEN_LINE)
+    lines = _csv(spark, paths, f"{schema}, {schemas.BROKEN_LINE} string", "PERMISSIVE", escape, multi_line)
+    rejected = lines.filter(broken.isNotNull()).select(F.col("_metadata.file_path").alias("file"), broken)
+    return lines.filter(broken.isNull()).drop(schemas.BROKEN_LINE), rejected
 
 
 def places(spark: SparkSession, paths: Paths) -> DataFrame:
