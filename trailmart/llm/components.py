@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from trailmart import scratch
 
 
-def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); the component is its smallest node.
 
     Every node points to a smaller or equal one. A round lets the targets of linked nodes point
     to the smallest target seen over their links, then each node to its target's target, so the
     number of rounds grows with the logarithm of a component's diameter. A hub with very many
     links is cut down in the map tasks, since only minima are taken. Each round is a table in
-    the shared folder.
+    the shared folder. Labels only fall, so rounds end by themselves, when none moves.
     """
     edges = scratch.materialise(
         links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct()
@@ -21,7 +21,7 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     labels = scratch.materialise(
         edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
     )
-    for _ in range(max_rounds):
+    while True:
         ends = edges.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
         # Over each link: the target of one end may go to the smaller target of the other.
         hooks = (
@@ -41,4 +41,3 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         labels = new
         if not moved:
             return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"links did not settle in {max_rounds} rounds")

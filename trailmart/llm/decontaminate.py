@@ -13,9 +13,10 @@ other window is more similar to an item.
 At similarity 0.75 fingerprints differ by 21 bits of 128 on average, and by more than ``RADIUS``
 less than once in ten thousand.
 
-Null and empty texts, texts of under five words and items of under five words match nothing. A
-text shorter than an item is one window. Items with the same words are one item, named by the
-smallest id. Repeated rows each have their matches. Without items every document is clean.
+Null and empty texts and items match nothing. A text or item of under five words is one shingle,
+the whole of it, so a short item is found in texts that have its words and no others. A
+text shorter than an item is one window. Items with the same words, whatever their case and white
+space, are one item, named by the smallest id. Repeated rows each have their matches. Without items every document is clean.
 """
 
 from __future__ import annotations
@@ -68,6 +69,11 @@ class Match(NamedTuple):
     similarity: float
 
 
+def _bag(hashes: np.ndarray) -> np.ndarray:
+    """The shingles of a text's words; under five words are one shingle."""
+    return words.shingle_hashes(hashes) if len(hashes) >= words.SHINGLE else words.short_hash(hashes)
+
+
 class Index:
     """Fingerprints and shingles of items."""
 
@@ -79,10 +85,10 @@ class Index:
         for part in words.words(texts):
             bounds = part.bounds.tolist()
             for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                if hi - lo >= words.SHINGLE:
+                if hi > lo:
                     own = part.hashes[lo:hi]
                     key, name = own.tobytes(), items[part.first + k][0]
-                    bags.setdefault(key, words.shingle_hashes(own))
+                    bags.setdefault(key, _bag(own))
                     old = names.get(key)
                     names[key] = name if old is None else old if name is None else min(old, name)
         self.names = list(names.values())
@@ -148,12 +154,12 @@ class Index:
 
 def _passes(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[tuple[int, str], ...]]:
     """The items in blocks of bounded size, collected one after another."""
-    rows = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
-        "text is not null"
-    )
+    lower = F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    plain = F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
+    rows = items.select(F.col(id_col).alias("id"), plain.alias("text")).where("text <> ''")
     n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     blocks = max(1, -(-n // PASS_ITEMS), -(-(size or 0) // PASS_BYTES))
-    # Equal texts fall into one block.
+    # Items with the same words fall into one block.
     block = F.pmod(F.xxhash64("text"), F.lit(2 * blocks if blocks > 1 else 1))
     for k in range(2 * blocks if blocks > 1 else 1):
         found = rows.where(block == k).groupBy("text").agg(F.min("id").alias("id"))
@@ -167,6 +173,8 @@ def _grams(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
             if hi - lo >= words.SHINGLE:
                 yield part.first + k, grams[lo : hi - words.SHINGLE + 1]
+            elif hi > lo:
+                yield part.first + k, words.short_hash(part.hashes[lo:hi])
 
 
 def find(

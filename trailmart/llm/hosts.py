@@ -8,7 +8,8 @@ distrust makes up at least ``threshold`` of distrust, trust and the host's share
 
 Links between hosts are the absolute links in the pages, and, both ways, a host and its nearest
 parent domain that has pages too. All of it are joins and sums by host; a host with very many
-pages or links is summed up in the map tasks first.
+pages or links is summed up in the map tasks first. Rounds go on until the scores have settled,
+however long a chain of links is.
 
 A null URL, or one without ``://``, has an empty host and path, no rule and the verdict allow.
 Null html has no links. Repeated rows stay. An empty table gives no rows.
@@ -26,7 +27,10 @@ from trailmart import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.7
-ROUNDS = 8
+#: The rounds end when all scores together move by less than this part of one page's share.
+TOLERANCE = 1e-4
+#: Rounds between two tables, at the end of which the change is looked at.
+STRIDE = 3
 THRESHOLD = 0.5
 #: Rules become one expression; a longer list belongs into a table.
 MAX_RULES = 500
@@ -109,9 +113,14 @@ def _steps(edges: DataFrame) -> DataFrame:
 
 
 def host_scores(
-    pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    pages: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """(host, trust, distrust, share) from pages (host, html, found)."""
+    """(host, trust, distrust, share) from pages (host, html, found).
+
+    A round shrinks the sum of changes by the damping at least, so the scores differ from their
+    limits by less than ``damping / (1 - damping)`` times the tolerance, and the number of rounds
+    grows with the logarithm of the number of pages only.
+    """
     counted = (
         pages.where("host != ''")
         .groupBy("host")
@@ -130,21 +139,28 @@ def host_scores(
     seeds = scratch.materialise(seeds)
     steps = scratch.materialise(_steps(scratch.materialise(_edges(pages, seeds.select("host")))))
     state = seeds.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
-    for k in range(rounds):
-        moved = (
-            steps.join(state.withColumnRenamed("host", "from"), "from")
-            .groupBy(F.col("to").alias("host"))
-            .agg(
-                F.sum(F.col("t") * F.col("trust")).alias("tin"),
-                F.sum(F.col("d") * F.col("distrust")).alias("din"),
+    least = tolerance / max(totals["n"] or 1, 1)
+    new = lambda seed, into: F.col(seed) * (1 - damping) + F.coalesce(into, F.lit(0.0)) * damping
+    while True:
+        for _ in range(STRIDE):
+            moved = (
+                steps.join(state.withColumnRenamed("host", "from"), "from")
+                .groupBy(F.col("to").alias("host"))
+                .agg(
+                    F.sum(F.col("t") * F.col("trust")).alias("tin"),
+                    F.sum(F.col("d") * F.col("distrust")).alias("din"),
+                )
             )
-        )
-        new = lambda seed, into: F.col(seed) * (1 - damping) + F.coalesce(into, F.lit(0.0)) * damping
-        state = seeds.join(moved, "host", "left").select(
-            "host", new("trust0", "tin").alias("trust"), new("distrust0", "din").alias("distrust")
-        )
-        if k % 2:
-            state = scratch.materialise(state)
+            before = state.select("host", F.col("trust").alias("trust1"), F.col("distrust").alias("distrust1"))
+            state = seeds.join(moved, "host", "left").select(
+                "host", new("trust0", "tin").alias("trust"), new("distrust0", "din").alias("distrust")
+            )
+        change = F.abs(F.col("trust") - F.col("trust1")) + F.abs(F.col("distrust") - F.col("distrust1"))
+        # A table is read again for the change, so the last round's step is the one looked at.
+        state = scratch.materialise(state.join(before, "host").select("host", "trust", "distrust", change.alias("change")))
+        if (state.agg(F.sum("change")).first()[0] or 0.0) < least:
+            break
+        state = state.drop("change")
     return state.join(seeds.select("host", "share"), "host")
 
 

@@ -1,10 +1,13 @@
-"""DuckDB SQL for the URL filter: the same rules, links and rounds, written out."""
+"""DuckDB SQL for the URL filter: the same rules and links, and rounds enough to settle any scores."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from trailmart.llm.hosts import DAMPING, LOWER, ROUNDS, THRESHOLD, UPPER, Rule
+from trailmart.llm.hosts import DAMPING, LOWER, THRESHOLD, UPPER, Rule
+
+#: 0.7 to this power is below 1e-15.
+ROUNDS = 100
 
 
 def judge_sql(rules: Sequence[Rule], rounds: int = ROUNDS, damping: float = DAMPING) -> str:

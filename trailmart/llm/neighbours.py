@@ -216,19 +216,21 @@ def _stored(index: pa.Table, dim: int) -> Graph:
 
 def _answer(k: int):
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[tuple[int, float, int]] = []
+        found: list[tuple[int, int, float, int]] = []
         if len(index) and len(queries):
             dim = index["dim"][0].as_py()
             graph = _stored(index, dim)
             norms = (graph.vectors * graph.vectors).sum(axis=1)
-            for own, query in zip(queries["id"].to_pylist(), _matrix(queries["vector"], dim), strict=True):
+            asked = zip(queries["row"].to_pylist(), queries["id"].to_pylist(), _matrix(queries["vector"], dim), strict=True)
+            for row, own, query in asked:
                 near = _search_graph(graph, graph.vectors, norms, query, k, own)
-                found += [(own, d, i) for d, i in near]
+                found += [(row, own, d, i) for d, i in near]
         return pa.table(
             {
-                "query_id": pa.array([f[0] for f in found], pa.int64()),
-                "vec_id": pa.array([f[2] for f in found], pa.int64()),
-                "score": pa.array([f[1] for f in found], pa.float64()),
+                "row": pa.array([f[0] for f in found], pa.int64()),
+                "query_id": pa.array([f[1] for f in found], pa.int64()),
+                "vec_id": pa.array([f[3] for f in found], pa.int64()),
+                "score": pa.array([f[2] for f in found], pa.float64()),
             }
         )
 
@@ -259,26 +261,29 @@ def nearest(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query but its own.
 
     Queries are cut into blocks; a pair of a shard and a block is one group, so neither the
-    queries nor the shards of a large index meet in one task.
+    queries nor the shards of a large index meet in one task. Rows with an equal id are queries of
+    their own, each with its ``k`` nearest, and no row of that id is among them; candidates
+    with an equal id are each found.
     """
-    asked = scratch.materialise(usable(queries, id_col, vector_col))
+    asked = usable(queries, id_col, vector_col).withColumn("row", F.monotonically_increasing_id())
+    asked = scratch.materialise(asked)
     blocks = -(-asked.count() // QUERY_ROWS) or 1
-    block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("id", "row", F.lit("block")), F.lit(blocks)).cast("int").alias("block")
     shards = index.select(F.col("dim"), F.col("shard"))
     left = index.withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     # As many copies of a query as shards: each is searched.
-    right = asked.select("dim", "id", "vector", block).join(shards, "dim")
+    right = asked.select("dim", "row", "id", "vector", block).join(shards, "dim")
     right = right.select(
-        F.col("dim").alias("dim_"), F.col("shard").alias("shard_"), F.col("block").alias("block_"), "id", "vector"
+        F.col("dim").alias("dim_"), F.col("shard").alias("shard_"), F.col("block").alias("block_"), "row", "id", "vector"
     )
     found = (
         left.groupBy("dim", "shard", "block")
         .cogroup(right.groupBy("dim_", "shard_", "block_"))
-        .applyInArrow(_answer(k), "query_id long, vec_id long, score double")
+        .applyInArrow(_answer(k), "row long, query_id long, vec_id long, score double")
     )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
