@@ -29,3 +29,13 @@ def test_materialise_computes_once(spark):
     assert kept.collect() == kept.collect()
     assert kept.schema == df.schema or [f.name for f in kept.schema] == [f.name for f in df.schema]
     assert scratch.new_folder(spark, "a") != scratch.new_folder(spark, "a")
+
+
+def test_discarded_tables_are_gone(spark, tmp_path):
+    kept, gone = (scratch.materialise(spark.range(10)) for _ in range(2))
+    spark.range(5).write.parquet(f"{tmp_path}/other")
+    other = spark.read.parquet(f"{tmp_path}/other")
+    scratch.discard(gone, other, spark.range(3).toDF("n"))
+    assert kept.count() == 10 and other.count() == 5
+    with pytest.raises(Exception, match="(?i)not.?(found|exist)|FILE_NOT_EXIST"):
+        gone.collect()

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailmart import storage
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -29,9 +31,17 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute a frame once and cut its lineage, by a table in the shared folder.
 
     For results that are costly or not repeatable, such as model answers, and that feed several
-    consumers.
+    consumers. ``discard`` deletes the table when the last of them has been computed.
     """
     spark = df.sparkSession
     path = new_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more; other frames are left alone."""
+    for df in stored:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("table-"):
+                storage.delete(df.sparkSession, folder)
