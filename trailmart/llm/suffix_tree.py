@@ -371,7 +371,9 @@ def _level(counted: DataFrame, shorter: DataFrame, corpus: int) -> tuple[DataFra
     found = rows.join(nodes.drop("total"), "context", "left").select(
         "key", "n", log.alias("log"), (log - parent - F.col("rest")).alias("value")
     )
-    return scratch.materialise(found), nodes
+    found = scratch.materialise(found)
+    scratch.discard(rows)
+    return found, nodes
 
 
 def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, size: float) -> tuple[DataFrame, int]:
@@ -382,19 +384,23 @@ def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, size: float) ->
         F.col(key).alias("key"), n.cast("long").alias("n"), often.alias("often"), v.alias("value")
     )
     none = F.lit(0)
+    stored = [vocabulary]
     values = row(vocabulary, "key", F.col("n"), F.col("n"), F.lit(0.0))
     shorter = vocabulary.where(F.col("n") >= LEAST).withColumn("log", F.log10(F.col("n") + 1) - size)
     for length in range(2, CONTEXT + 2):
         shared = send(_sieve(shorter))
         shorter, nodes = _level(_count_runs(texts, length, shared), shorter, corpus)
         shared.destroy()
+        stored += [shorter, nodes]
         kept = row(shorter.where("value is not null"), "key", none, F.col("n"), F.col("value"))
         values = values.union(kept).union(row(nodes, "context", none, F.col("total"), F.col("rest")))
     # A run has one value of its own and one as a context at most, so the sum has no order.
     tree = values.groupBy("key").agg(
         F.sum("n").alias("n"), F.max("often").alias("often"), F.sum("value").alias("value")
     )
-    return scratch.materialise(tree), length
+    tree = scratch.materialise(tree)
+    scratch.discard(*stored)
+    return tree, length
 
 
 @dataclass
@@ -618,6 +624,7 @@ def score(
     Rows for which ``held_out`` is true are not learned from. Scores are log10 probabilities.
     """
     spark = docs.sparkSession
+    docs = words.in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     texts = rows.where(~F.col("held_out")).select("text")
     vocabulary = scratch.materialise(_counts(texts, lambda t, b: t.view(np.int64)))
