@@ -260,6 +260,7 @@ _QUERIES = {
         "from known_views"
     ),
     "member_top_place": "select * from top_places",
+    "member_top_place_of_counts": "select * from top_places",
     "distinct_member_places": "select * from pairs",
     "similar_places_topk": (
         "select ml_mapping_id, cid, round(score, 6) as score from nearest"

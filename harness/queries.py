@@ -57,10 +57,7 @@ def _deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _top_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = recommend.member_place_counts(
-        _cleansed(spark, sf_dir), inputs.places(spark, sf_dir)
-    )
-    return recommend.member_top_place(counts, FIRST_RUN)
+    return recommend.top_places(_cleansed(spark, sf_dir), inputs.places(spark, sf_dir), FIRST_RUN)
 
 
 def _answers(spark: SparkSession, sf_dir: str, top_places: DataFrame) -> DataFrame:
@@ -76,10 +73,10 @@ def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _recommendation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recommendation mart as its readers find it, on disk, by day, member and cid."""
-    return marts.read_mart(spark, _recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
+    return marts.read_mart(spark, recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
 
 
-def _recommendation_folder(spark: SparkSession, sf_dir: str) -> str:
+def recommendation_folder(spark: SparkSession, sf_dir: str) -> str:
     mart = scratch.new_folder(spark, "mart")
     recommend.load_recommendations(spark, scratch.materialise(_recommendations(spark, sf_dir)), mart)
     return mart
@@ -236,6 +233,14 @@ def member_top_place(spark, sf_dir):
     return _top_places(spark, sf_dir)
 
 
+@query
+def member_top_place_of_counts(spark, sf_dir):
+    counts = recommend.member_place_counts(
+        _cleansed(spark, sf_dir), inputs.places(spark, sf_dir)
+    )
+    return recommend.member_top_place(counts, FIRST_RUN)
+
+
 @query
 def distinct_member_places(spark, sf_dir):
     return _top_places(spark, sf_dir).select("memberId", "ml_mapping_id").distinct()
@@ -302,7 +307,7 @@ def recommendations_of_one_member(spark, sf_dir):
 
 @query
 def recommendations_in_order(spark, sf_dir):
-    return version_source.read_in_order(spark, _recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
+    return version_source.read_in_order(spark, recommendation_folder(spark, sf_dir), schemas.RECOMMENDATION)
 
 
 @query

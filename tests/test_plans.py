@@ -179,6 +179,21 @@ def test_top_place_against_the_plain_steps(spark):
     assert {
         (str(r.cre_dtm), r.memberId): (r.ml_mapping_id, r.counts, r.traceId, r.id) for r in top
     } == plain_top_places(views, mapping)
+    two_steps = recommend.top_places(cleansed(spark, *logs), dimension, RUN)
+    assert sorted(map(tuple, two_steps.collect())) == sorted(map(tuple, top))
+    # Views are counted without a sort.
+    plan = two_steps._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_top_places_of_views_without_a_trace(spark):
+    logs = [{**view(n, "1", 1 + n % 2), "traceId": None if n % 2 else f"t{n}"} for n in range(5)] + [{**view(9, "2", 1), "traceId": None}]
+    logs += [{**view(7, "3", 2), "requestTime": None}, view(8, None, 1)]
+    dimension = places(spark, ("1", "A", "a"), ("2", "A", "a"))
+    df = cleansed(spark, *logs)
+    one = recommend.member_top_place(recommend.member_place_counts(df, dimension), RUN).collect()
+    two = recommend.top_places(df, dimension, RUN).collect()
+    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 3
 
 
 def test_recommendations_end_to_end(spark, folder):

@@ -89,6 +89,32 @@ def member_top_place(counts: DataFrame, run_ts) -> DataFrame:
     )
 
 
+def top_places(logs: DataFrame, places: DataFrame, run_ts, day: str | date | None = None) -> DataFrame:
+    """The rows of ``member_top_place``, found in two steps from the logs.
+
+    Views are counted without their trace ids, which takes no sort, and the trace is looked up
+    among the views of the chosen places only. The logs are read twice, the second time without
+    the views of all other places; a chosen place with very many views is cut to one row in
+    every map task behind the join.
+    """
+    views = place_views(logs, day).filter(F.col("id").isNotNull())
+    mapping = place_mapping(places)
+    counts = lookup_join(views.groupBy(*_MEMBER_DAY, "id").agg(F.count("*").alias("views")), mapping, ["id"], "inner")
+    best = ranking.top_n(
+        counts.withColumn("counts", F.col("views") * F.col("copies")),
+        _MEMBER_DAY,
+        [F.col("counts").desc(), F.col("id").asc(), F.col("ml_mapping_id").asc()],
+    ).select(*_MEMBER_DAY, "ml_mapping_id", "counts")
+    chosen = best.join(mapping.select("ml_mapping_id", "id"), "ml_mapping_id")
+    day_of = F.col("v.cre_dtm").eqNullSafe(F.col("c.cre_dtm"))
+    same = day_of & (F.col("v.memberId") == F.col("c.memberId")) & (F.col("v.id") == F.col("c.id"))
+    found = views.alias("v").join(chosen.alias("c"), same).select("v.*", "c.ml_mapping_id", "c.counts")
+    first = ranking.top_n(found, _MEMBER_DAY, [F.col("traceId").asc_nulls_last(), F.col("id").asc()])
+    return first.select(
+        "memberId", "ml_mapping_id", "counts", "traceId", times.run_timestamp(run_ts).alias("etl_dtm"), "cre_dtm", "id"
+    )
+
+
 def member_place_recommend(
     top_places: DataFrame, answers: DataFrame, places: DataFrame
 ) -> DataFrame:
