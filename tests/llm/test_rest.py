@@ -1,6 +1,9 @@
+import math
+import struct
 from collections import Counter
 
 import numpy as np
+import xxhash
 from plain import ROWS
 
 from trailmart.llm import hosts, neighbours, shards
@@ -51,6 +54,33 @@ def test_shards_keep_their_laws(spark, odd_docs, no_docs):
     assert shards.assign(no_docs, tree).count() == 0
 
 
+def _drawn(key, depth, child):
+    """The draw of a child, as Spark's xxhash64 of (key, depth, child) gives it."""
+    seed = 42
+    for kind, value in (("<q", key), ("<i", depth), ("<i", child)):
+        seed = xxhash.xxh64_intdigest(struct.pack(kind, value), seed=seed)
+    return math.log(((seed >> 11) + 0.5) / float(1 << 53))
+
+
+def test_shards_are_those_of_plain_draws(spark):
+    tree = shards.Tree.even(40).reweigh(3, 2.5).reweigh(11, 0.5)
+
+    def place(key):
+        under = 0
+        for depth in range(3):
+            weights = Counter()
+            for leaf in tree.leaves:
+                if depth == 0 or leaf[depth - 1] == under:
+                    weights[leaf[depth]] += leaf[3]
+            under = max(weights, key=lambda c: (_drawn(key, depth, c) / weights[c], -c))
+        return under
+
+    ids = [*range(300), -1, 2**62, -(2**63)]
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    found = {r["doc_id"]: r["shard"] for r in shards.assign(docs, tree).collect()}
+    assert found == {i: place(i) for i in ids}
+
+
 def test_trust_and_distrust_follow_links(spark):
     link = lambda h: f'<a href="https://{h}/x">'
     pages = [

@@ -234,3 +234,41 @@ def test_scores_of_empty_tables(no_docs, odd_docs):
     assert {r["train_tokens"] for r in rows} == {0} and {r["score"] for r in rows} == {0.0}
 
 
+
+
+def test_languages_are_those_of_the_smallest_sizes(spark, odd_docs):
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    dictionaries = language.learn(docs)
+    names = sorted(dictionaries)
+    rows = docs.select("doc_id", "text").limit(80).collect() + odd_docs.where("doc_id in (3, 5, 8, 11)").select("doc_id", "text").collect()
+
+    def sizes(blocks, level):
+        out = []
+        for name in names:
+            held = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            press = zstandard.ZstdCompressor(level=level, dict_data=held, write_content_size=False, write_dict_id=False)
+            out.append(sum(len(press.compress(b)) for b in blocks))
+        return out
+
+    def plain(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        data = f" {text.lower()} ".encode()
+        data = data * 4 if len(data) < language.SHORT_BYTES else data
+        blocks = [data[k : k + language.BLOCK_BYTES] for k in range(0, len(data), language.BLOCK_BYTES)]
+        for level in (language.LEVEL, language.FINE_LEVEL):
+            order = sorted(zip(sizes(blocks, level), names, strict=True))
+            margin = (order[1][0] - order[0][0]) / order[1][0]
+            if margin >= language.CLOSE:
+                break
+        return order[0][1], margin
+
+    frame = spark.createDataFrame([(k, r["text"]) for k, r in enumerate(rows)], "n long, text string")
+    found = {r["n"]: (r["lang_pred"], r["score"]) for r in language.identify(frame, dictionaries, keep=["n"]).collect()}
+    agree = 0
+    for k, r in enumerate(rows):
+        lang, score = plain(r["text"])
+        agree += found[k][0] == lang and found[k][1] == pytest.approx(score, abs=1e-12)
+    assert agree == len(rows)

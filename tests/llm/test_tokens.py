@@ -116,3 +116,31 @@ def test_orc_files_hold_the_ids_in_order(spark, odd_docs, no_docs, library):
     empty = scratch.new_folder(spark, "orc")
     binary.write_tokens(no_docs, empty, PATH)
     assert binary.token_positions(binary.read_tokens(spark, empty)).count() == 0
+
+
+def _scanned(df):
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_reads_few_rows_of_the_token_files(spark, tmp_path):
+    docs = spark.range(0, 60_000, 2).selectExpr("id as doc_id", "'word ' || id as text")
+    binary.write_tokens(docs, f"{tmp_path}/t", PATH, partitions=3)
+    stored = binary.read_tokens(spark, f"{tmp_path}/t")
+    one = stored.where("doc_id = 31000")
+    assert _scanned(one) <= 2 * binary.INDEX_ROWS and [r["doc_id"] for r in one.collect()] == [31000]
+    # No row group has an odd id, though all of them span some: the Bloom filters say so.
+    odd = [_scanned(stored.where(f"doc_id = {k}")) for k in (1001, 31001, 59001)]
+    assert min(odd) == 0 and sum(odd) <= binary.INDEX_ROWS
+
+
+def test_files_grow_with_the_texts_and_share_an_id(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(binary, "FILE_BYTES", 2_000)
+    docs = spark.range(400).selectExpr("cast(null as long) as doc_id", "'text number ' || id || repeat('x', 100) as text")
+    binary.write_tokens(docs, f"{tmp_path}/t", PATH)
+    stored = binary.read_tokens(spark, f"{tmp_path}/t")
+    assert stored.select("part").distinct().count() > 8
+    starts = sorted((r["start"], r["n_tokens"]) for r in binary.token_positions(stored).collect())
+    assert len(starts) == 400 and starts[0][0] == 0
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from trailmart.llm import bpe
 
 STRIPE_BYTES = 16 << 20
+FILE_BYTES = 128 << 20
 INDEX_ROWS = 1000
 STORED = "doc_id long, part int, n_tokens long, ids array<int>"
 
@@ -62,12 +63,16 @@ def write_tokens(
     """Encode texts, append ``end_id`` to each and write them in ascending order of ids.
 
     The texts are sorted before they are encoded, so that only text is shuffled and sampling for
-    the ranges encodes nothing. ``partitions`` is the number of files, ``spark.sql.shuffle.partitions``
-    if not given.
+    the ranges encodes nothing. ``partitions`` is the number of files. If not given, it grows with
+    the texts, ``FILE_BYTES`` of text to a file, from ``spark.sql.shuffle.partitions`` on. Rows
+    with one id, or none, are dealt by how their texts begin, so they may lie in several files.
     """
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    if partitions is None:
+        size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // FILE_BYTES)
+    ranges = rows.repartitionByRange(partitions, "doc_id", F.substring("text", 1, 64))
+    ordered = ranges.sortWithinPartitions("doc_id", "text")
     (
         ordered.mapInArrow(_ids(path, end_id), STORED)
         .write.option("orc.stripe.size", str(STRIPE_BYTES))
