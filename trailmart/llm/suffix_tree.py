@@ -314,10 +314,10 @@ def _count_runs(texts: DataFrame, size: int, shared) -> DataFrame:
                     some = _in_sieve(bits, own[1]) & _in_sieve(bits, own[2])
                     found.append((*(x[some] for x in own), np.ones(some.sum(), np.int64)))
                     rows += len(found[-1][0])
-                if rows > 500_000:
+                if rows > 1_000_000:
                     found = [_summed(found)]
                     rows = len(found[0][0])
-                    if rows > 250_000:
+                    if rows > 500_000:
                         yield from packed(found[0])
                         found, rows = [], 0
         if found:
