@@ -1,7 +1,8 @@
 """Plain Python counterparts of the operators, for comparison on small tables."""
 
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 
 def words(text):
@@ -57,6 +58,52 @@ def passages(docs, items, similarity=0.75):
     return found
 
 
+def suffix_nodes(texts, discount=0.5):
+    """Kept contexts, log10 P(word | context) and word counts; None is the end of a text."""
+    rows = [[*words(t), None] for t in texts]
+    count = Counter(w for r in rows for w in r)
+    n, size = sum(count.values()), sum(count.values()) + len(count) + 1
+    cost = 0.5 * math.log10(max(n, 10))
+    nodes = {}
+
+    def log(context, word):
+        while context and context not in nodes:
+            context = context[1:]
+        if not context:
+            return math.log10((count[word] + 1) / size)
+        rest, listed = nodes[context]
+        return listed[word] if word in listed else rest + log(context[1:], word)
+
+    length, below = 1, {()}
+    while below:
+        follow = defaultdict(Counter)
+        for r in rows:
+            for k in range(length, len(r)):
+                context = tuple(r[k - length : k])
+                if context[1:] in below:
+                    follow[context][r[k]] += 1
+        kept, below = {}, set()
+        for context, found in follow.items():
+            total = sum(found.values())
+            share = {w: (k - discount) / total for w, k in found.items() if k >= 2}
+            parent = {w: log(context[1:], w) for w in share}
+            left = max(1 - sum(share.values()), 1e-9)
+            rest = math.log10(left / max(1 - sum(10**p for p in parent.values()), 1e-9))
+            gain = sum(s * (math.log10(s) - parent[w]) for w, s in share.items()) + left * rest
+            if share and total * gain > cost * len(share):
+                kept[context] = (rest, {w: math.log10(s) for w, s in share.items()})
+                if max(found.values()) < total:
+                    below.add(context)
+        nodes.update(kept)
+        length += 1
+    return nodes, log, count
+
+
+def sequence_log(log, text):
+    own = [*words(text), None]
+    return sum(log(tuple(own[max(0, k - 12) : k]), w) for k, w in enumerate(own))
+
+
 EN = "the cat and the dog went to the old house near the river and then they slept all night long "
 FR = "le chat et le chien sont partis dans la vieille maison pres de la riviere et ils ont dormi "
 

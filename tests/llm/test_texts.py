@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from plain import EN, FR, ROWS, classes, passages, shingles, words
+from plain import EN, FR, ROWS, classes, passages, sequence_log, shingles, suffix_nodes, words
 from pyspark.sql import functions as F
 
 from trailmart.llm import decontaminate, jaccard, language, suffix_tree
@@ -182,21 +182,12 @@ def test_scores_agree_with_plain_counts(spark, odd_docs):
 
 
 def test_every_node_is_a_distribution(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
-    counts = suffix_tree._counts(docs, lambda t, b: t.view(np.int64)).cache()
-    n, v = counts.agg(F.sum("n"), F.count("*")).first()
-    tree = suffix_tree.learn(docs, counts, n, v)
-    assert len(tree.keys1) and len(tree.contexts2)
-    rare = counts.where(F.col("n") < max(suffix_tree.LEAST, n / suffix_tree.MAX_WORDS))
-    rest = rare.agg(F.sum(F.col("n") + 1)).first()[0] + 1  # and one unknown word
-    symbols = np.arange(len(tree.words) + 1)
-    for older, newer in [(0, 0), *((0, k) for k in np.unique(tree.keys1 >> 20)[:20])]:
-        total = 10.0 ** tree.two(np.full_like(symbols, older), np.full_like(symbols, newer), symbols)
-        assert total[1:].sum() + total[0] * rest == pytest.approx(1, abs=1e-6)
-    for pair in tree.contexts2[:20].tolist():
-        older, newer = np.full_like(symbols, pair >> 20), np.full_like(symbols, pair & ((1 << 20) - 1))
-        total = 10.0 ** tree.two(older, newer, symbols)
-        assert total[1:].sum() + total[0] * rest == pytest.approx(1, abs=1e-6)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    nodes, log, count = suffix_nodes(texts)
+    symbols = [*count, "\n"]  # and one unknown word
+    for size in sorted({len(c) for c in nodes}):
+        for context in [c for c in nodes if len(c) == size][:10]:
+            assert sum(10 ** log(context, w) for w in symbols) == pytest.approx(1, abs=1e-6)
 
 
 def test_held_out_scores_beat_the_base(spark):
@@ -206,26 +197,43 @@ def test_held_out_scores_beat_the_base(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def _plain_scores(rows, learned):
+    _, log, _ = suffix_nodes([t for _, t in learned])
+    return sorted((i, pytest.approx(sequence_log(log, t), abs=1e-4)) for i, t in rows)
+
+
+def test_scores_are_those_of_a_plain_tree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    found = suffix_tree.score(docs, F.col("doc_id") % 5 == 0).collect()
+    expected = _plain_scores(rows, [r for r in rows if r[0] % 5])
+    assert sorted((r["doc_id"], r["score"]) for r in found) == expected
+
+
+def test_contexts_grow_as_long_as_they_tell_followers_apart(spark):
+    draw = np.random.default_rng(5)
+    table = draw.dirichlet([0.2] * 4, (4, 4, 4))  # what follows any three words
+    rows = []
+    for k in range(60):
+        own = [0, 1, 2]
+        for _ in range(200):
+            own.append(int(draw.choice(4, p=table[tuple(own[-3:])])))
+        rows.append((k, " ".join(f"w{x}" for x in own)))
+    nodes, _, _ = suffix_nodes([t for _, t in rows])
+    assert max(map(len, nodes)) >= 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score(docs, F.lit(False)).collect())
+    assert found == _plain_scores(rows, rows)
+
+
 def test_the_tree_keeps_rare_contexts_however_large_the_corpus_is(spark, monkeypatch):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    texts = docs.select("text")
-    counts = suffix_tree._counts(texts, lambda t, b: t.view(np.int64)).cache()
-    n, v = counts.agg(F.sum("n"), F.count("*")).first()
-    tree = suffix_tree.learn(texts, counts, n, v)
-    known = {r["key"]: r["n"] for r in counts.collect()}
-    expected = []
-    for r in docs.collect():
-        ((_, tokens, bounds),) = suffix_tree._tokens(pa.array([r["text"] or ""]))
-        symbols = tree.symbols(tokens)
-        one, two = suffix_tree._history(symbols, bounds)
-        rare = tokens[symbols == 0].view(np.int64).tolist()
-        more = sum(math.log10(known[t] + 1) for t in rare)
-        expected.append((r["doc_id"], tree.two(two, one, symbols).sum() + more))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
     # As if the corpus were so large that next to no word made up the least share of it.
     monkeypatch.setattr(suffix_tree, "MAX_WORDS", 16)
-    monkeypatch.setattr(suffix_tree, "SIEVE_BITS", 15, raising=False)
-    rows = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score(docs, F.lit(False)).collect())
-    assert rows == [(k, pytest.approx(x, abs=1e-4)) for k, x in sorted(expected)]
+    monkeypatch.setattr(suffix_tree, "SIEVE_BITS", 15)
+    found = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score(docs, F.lit(False)).collect())
+    assert found == _plain_scores(rows, rows)
 
 
 def test_scores_of_empty_tables(no_docs, odd_docs):

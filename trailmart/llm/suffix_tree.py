@@ -1,20 +1,26 @@
 """Operator 7, scores by a probabilistic suffix tree over words.
 
 Symbols are the words of a text and one end. Counts of all training words give the root of the
-tree, an add-one distribution that also covers unknown words. A node is a context of the one or
-two words before a symbol. It lists the words that follow it often, with discounted frequencies,
-and leaves the rest of its mass to its parent, so every node is a distribution. A node is kept
-if the corpus is described better with it: its divergence from its parent, times how often it
-occurs, must exceed half the logarithm of the corpus size for each word that it lists. A symbol
+tree, an add-one distribution that also covers unknown words. A node is a context of one or more
+words before a symbol. It lists the words that follow it more than once, with discounted
+frequencies, and leaves the rest of its mass to its parent, so every node is a distribution. A node
+is kept if the corpus is described better with it: its divergence from its parent, times how often
+it occurs, must exceed half the logarithm of the corpus size for each word that it lists. A symbol
 is scored by the longest context that was kept.
 
+A follower seen once never repays that: its parent gives it at least two in the size of the corpus
+and its words. The tree grows by one word at a time, without a limit, until no kept context can
+have a longer one. A longer context is tried below a kept one that has several followers; below
+one that is always followed by the same symbol, longer ones say the same and would not be kept.
+
 Every word, context and listed follower that occurs ``LEAST`` times counts, however large the
 corpus is, so all of them stay tables. The logarithm of a symbol's probability is a sum over the
 runs of words that end with it: each word adds its part of the root, each listed follower what it
 gains over the parent, and each kept context what it leaves to its parent. So runs are looked up
-by one hash each, in buckets, and added up by text. Only two things are sent to the tasks, both of
-bounded size and neither changing a result: the values of the most frequent runs, and a sieve of
-bits that lets through all runs of a table and few others.
+by one hash each, in buckets, and added up by text. Only bounded things are sent to the tasks, and
+none changes a result: the most frequent runs, as short numbers while runs are counted and with
+their values while texts are scored, and sieves of bits that let through all runs of a table and
+few others.
 
 Null and empty texts are the end alone. Ids may repeat or be null; every row has its own score.
 Without training texts the root gives every symbol probability 1.
@@ -36,18 +42,15 @@ from trailmart import scratch
 from trailmart.llm import words
 
 #: Runs that make up ``1 / MAX_WORDS`` of the corpus are looked up in the tasks, others are joined.
-MAX_WORDS = 1 << 16
-#: Contexts and listed followers occur at least this often.
-LEAST = 4
+MAX_WORDS = 1 << 20
+#: Contexts and listed followers occur at least this often; those seen once fail the test.
+LEAST = 2
 #: Bits of a hash that a sieve tells apart.
 SIEVE_BITS = 27
 DISCOUNT = 0.5
-#: Words of the longest contexts.
-CONTEXT = 2
 BUCKET_TOKENS = 1_500_000
 END = np.uint64(0x3C6EF372FE94F82A)
 
-_BITS = np.int64(20)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,149 +104,10 @@ def _look_up(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
-def _history(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols one and two places before, 0 where there is none."""
-    one, two = np.zeros_like(symbols), np.zeros_like(symbols)
-    one[1:], two[2:] = symbols[:-1], symbols[:-2]
-    one[bounds[:-1]] = 0
-    two[bounds[:-1]] = 0
-    second = bounds[:-1] + 1
-    two[second[second < len(two)]] = 0
-    return one, two
-
-
-@dataclass
-class Tree:
-    """The kept nodes. Symbol 0 is any word that is not frequent; probabilities are log10."""
-
-    words: np.ndarray  # sorted hashes of the frequent words: symbol k + 1
-    counts: np.ndarray  # log10(count + 1) by symbol, 0 for symbol 0
-    size: float  # log10(N + V + 1)
-    rest1: np.ndarray  # by symbol: what a context of one word leaves to the root
-    keys1: np.ndarray  # sorted context << 20 | follower
-    logs1: np.ndarray
-    contexts2: np.ndarray  # sorted older << 20 | newer
-    rest2: np.ndarray
-    keys2: np.ndarray  # sorted place of the context << 20 | follower
-    logs2: np.ndarray
-
-    def symbols(self, tokens: np.ndarray) -> np.ndarray:
-        return _look_up(tokens, self.words) + 1
-
-    def one(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | one word); a word that is not frequent still lacks its count."""
-        plain = self.counts[symbol] - self.size + self.rest1[context]
-        at = _look_up((context << _BITS) | symbol, self.keys1)
-        return np.where((at >= 0) & (symbol > 0), _take(self.logs1, at), plain)
-
-    def two(self, older: np.ndarray, newer: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | longest kept context)."""
-        out = self.one(newer, symbol)
-        some = np.flatnonzero((older > 0) & (newer > 0))
-        context = _look_up((older[some] << _BITS) | newer[some], self.contexts2)
-        some, context = some[context >= 0], context[context >= 0]
-        at = _look_up((context << _BITS) | symbol[some], self.keys2)
-        listed = (at >= 0) & (symbol[some] > 0)
-        out[some] = np.where(listed, _take(self.logs2, at), out[some] + self.rest2[context])
-        return out
-
-
 def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return values[np.maximum(at, 0)] if len(values) else np.zeros(len(at))
 
 
-def _nodes(
-    total: np.ndarray, context: np.ndarray, n: np.ndarray, parent: np.ndarray, corpus: float
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes from totals by context, and (context, count, parent's log10) of listed followers.
-
-    Gives whether each context is kept, what it leaves to its parent (log10), and the listed
-    probabilities (log10).
-    """
-    share = (n - DISCOUNT) / total[context]
-    log_share = np.log10(share)
-    size = len(total)
-    used = np.bincount(context, share, size)
-    taken = np.bincount(context, 10.0**parent, size)
-    left = np.clip(1 - used, 1e-9, 1)
-    rest = np.log10(left / np.clip(1 - taken, 1e-9, 1))
-    gain = np.bincount(context, share * (log_share - parent), size) + left * rest
-    cost = 0.5 * np.log10(max(corpus, 10)) * np.bincount(context, minlength=size)
-    kept = (total * gain > cost) & (cost > 0)
-    return kept, np.where(kept, rest, 0.0), log_share
-
-
-def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with at least so many, sorted."""
-    table = counts.where(F.col("n") >= least).toArrow()
-    keys, n = (table[c].to_numpy() for c in ("key", "n"))
-    order = np.argsort(keys)
-    return keys[order], n[order].astype(np.float64)
-
-
-def learn(texts: DataFrame, vocabulary: DataFrame, corpus: int, distinct: int) -> Tree:
-    """The first two levels as arrays, for corpora of under 2^20 frequent words; ``score`` has the
-    same nodes in tables. ``vocabulary`` (key, n) has the counts of all words of the texts."""
-    keys, n = _frequent(vocabulary, LEAST)
-    order = np.argsort(keys.view(np.uint64))
-    tree = Tree(
-        words=keys.view(np.uint64)[order],
-        counts=np.append(0.0, np.log10(n[order] + 1)),
-        size=float(np.log10(corpus + distinct + 1)),
-        rest1=np.zeros(len(keys) + 1),
-        **{k: np.zeros(0, np.int64) for k in ("keys1", "contexts2", "keys2")},
-        **{k: np.zeros(0) for k in ("logs1", "rest2", "logs2")},
-    )
-    send = texts.sparkSession.sparkContext.broadcast
-
-    def pairs(tree: Tree, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        symbols = tree.symbols(tokens)
-        one, _ = _history(symbols, bounds)
-        one, symbols = one[one > 0], symbols[one > 0]
-        listed = (one << _BITS) | symbols
-        return np.concatenate([listed[symbols > 0], one << _BITS])
-
-    shared = send(tree)
-    found = scratch.materialise(_counts(texts, lambda t, b: pairs(shared.value, t, b)))
-    keys, n = _frequent(found, LEAST)
-    context, symbol = keys >> _BITS, keys & ((1 << _BITS) - 1)
-    total = np.ones(len(tree.rest1))
-    total[context[symbol == 0]] = n[symbol == 0]
-    listed = symbol > 0
-    keys, context, symbol, n = (x[listed] for x in (keys, context, symbol, n))
-    pair_keys, pair_n = keys, n
-    kept, tree.rest1, logs = _nodes(total, context, n, tree.counts[symbol] - tree.size, corpus)
-    tree.keys1, tree.logs1 = keys[kept[context]], logs[kept[context]]
-
-    tree.contexts2 = pair_keys[pair_n >= LEAST]
-
-    def triples(tree: Tree, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        symbols = tree.symbols(tokens)
-        one, two = _history(symbols, bounds)
-        some = (one > 0) & (two > 0)
-        context = _look_up((two[some] << _BITS) | one[some], tree.contexts2)
-        symbols, context = symbols[some][context >= 0], context[context >= 0]
-        listed = (context << _BITS) | symbols
-        return np.concatenate([listed[symbols > 0], context << _BITS])
-
-    shared2 = send(tree)
-    found = scratch.materialise(_counts(texts, lambda t, b: triples(shared2.value, t, b)))
-    keys, n = _frequent(found, LEAST)
-    context, symbol = keys >> _BITS, keys & ((1 << _BITS) - 1)
-    total = np.ones(len(tree.contexts2))
-    total[context[symbol == 0]] = n[symbol == 0]
-    listed = symbol > 0
-    keys, context, symbol, n = (x[listed] for x in (keys, context, symbol, n))
-    newer = tree.contexts2[context] & ((1 << _BITS) - 1)
-    kept, rest, logs = _nodes(total, context, n, tree.one(newer, symbol), corpus)
-    place = np.cumsum(kept) - 1
-    mine = kept[context]
-    tree.keys2 = (place[context[mine]] << _BITS) | symbol[mine]
-    tree.logs2 = logs[mine]
-    tree.contexts2, tree.rest2 = tree.contexts2[kept], rest[kept]
-    return tree
-
-
 def _run_hash(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """The hash of runs by those of all but their last and all but their first word."""
     return words.mix(context * _STEP + suffix)
@@ -291,70 +155,134 @@ def _summed(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return keys[first], context[first], suffix[first], np.bincount(where, n).astype(np.int64)
 
 
-def _count_runs(texts: DataFrame, size: int, shared) -> DataFrame:
-    """(key, context, suffix, n) of the runs of ``size`` words that occur ``LEAST`` times.
+@dataclass
+class Shorter:
+    """What tasks know of shorter runs while they count those of one length."""
+
+    contexts: np.ndarray  # sieve of runs that may be the context, or hold it but for its first word
+    suffixes: np.ndarray  # sieve of runs that may be what follows the first word
+    often: np.ndarray  # sorted hashes of the most frequent of them: number k + 1
+
+    def numbers(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers for the most frequent runs, hashes for others; short numbers pack well.
+
+        Also whether each can be told from the others: a hash that passes for a number is of no
+        run in the tables, as those have a number of their own.
+        """
+        at = _look_up(keys, self.often)
+        clear = (at >= 0) | (keys > len(self.often)) | (keys == 0)
+        return np.where(at >= 0, (at + 1).view(np.uint64), keys), clear
+
+    def hashes(self, numbers: np.ndarray) -> np.ndarray:
+        out = numbers.copy()
+        short = (numbers > 0) & (numbers <= len(self.often))
+        out[short] = self.often[numbers[short].astype(np.int64) - 1]
+        return out
+
+
+def _often(shorter: DataFrame, corpus: int) -> np.ndarray:
+    """Hashes of the most frequent runs, and of any that would pass for a number."""
+    short = F.col("key").between(0, 2 * MAX_WORDS)
+    often = shorter.where((F.col("n") >= max(LEAST, corpus / MAX_WORDS)) | short)
+    return np.sort(often.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
-    Both runs within such a run occur as often, so those that are not in the sieve of the shorter
-    runs are left out at once.
+
+def _own_runs(
+    tokens: np.ndarray, bounds: np.ndarray, size: int, known: Shorter
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, context, suffix) of the runs of ``size`` words of a slice of texts that may count.
+
+    Up to three words, all shorter runs were counted: both within a run occur as often as it, so
+    they must be in the sieves. For more, the context must be longer by a word than a kept one;
+    runs that cannot be listed count for it, with suffix 0.
     """
+    found = list(islice(_runs(tokens, bounds), max(size - 3, 0), size - 1))
+    if not found or len(found) < min(size - 1, 2):
+        none = np.zeros(0, np.uint64)
+        return none, none, none
+    at, key, context, suffix = found[-1]
+    listed = _in_sieve(known.suffixes, suffix)
+    if size <= 3:
+        some = listed & _in_sieve(known.contexts, context)
+    else:
+        before, _, inner, _ = found[0]
+        some = _in_sieve(known.contexts, inner[np.searchsorted(before, at)])
+        key, suffix = np.where(listed, key, words.mix(context)), np.where(listed, suffix, np.uint64(0))
+    return key[some], context[some], suffix[some]
+
 
-    def packed(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        arrays = [pa.array(x.view(np.int64)) for x in found[1:]]
+def _count_runs(texts: DataFrame, size: int, shared) -> DataFrame:
+    """(key, context, suffix, n) of the runs of ``size`` words that ``_own_runs`` gives."""
+
+    def packed(found: tuple[np.ndarray, ...], known: Shorter) -> Iterator[pa.RecordBatch]:
+        (context, clear), (suffix, also) = known.numbers(found[1]), known.numbers(found[2])
+        order = np.argsort(context)
+        order = order[(clear & also)[order]]
+        arrays = [pa.array(x[order].view(np.int64)) for x in (context, suffix, found[3])]
         whole = pa.RecordBatch.from_arrays(arrays, ["context", "suffix", "n"])
         for lo in range(0, len(whole), 50_000):
             yield whole.slice(lo, 50_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        known: Shorter = shared.value
         found: list[tuple[np.ndarray, ...]] = []
         rows = 0
         for batch in batches:
             for _, tokens, bounds in _tokens(batch.column(0)):
-                for _, *own in islice(_runs(tokens, bounds), size - 2, size - 1):
-                    some = _in_sieve(bits, own[1]) & _in_sieve(bits, own[2])
-                    found.append((*(x[some] for x in own), np.ones(some.sum(), np.int64)))
-                    rows += len(found[-1][0])
+                own = _own_runs(tokens, bounds, size, known)
+                found.append((*own, np.ones(len(own[0]), np.int64)))
+                rows += len(own[0])
                 if rows > 1_000_000:
                     found = [_summed(found)]
                     rows = len(found[0][0])
                     if rows > 500_000:
-                        yield from packed(found[0])
+                        yield from packed(found[0], known)
                         found, rows = [], 0
         if found:
-            yield from packed(_summed(found))
+            yield from packed(_summed(found), known)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Shorter = shared.value
         for batch in batches:
-            keys = _run_hash(*(batch.column(k).to_numpy().view(np.uint64) for k in range(2)))
+            runs = [known.hashes(batch.column(k).to_numpy().view(np.uint64)) for k in range(2)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), *batch.columns], ["key", "context", "suffix", "n"]
+                [*(pa.array(x.view(np.int64)) for x in (_run_hash(*runs), *runs)), batch.column(2)],
+                ["key", "context", "suffix", "n"],
             )
 
     # A run is known by its context and what follows its first word, which saves the key's place.
     made = texts.mapInArrow(run, "context long, suffix long, n long")
-    summed = made.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    summed = made.groupBy("context", "suffix").agg(F.sum("n").alias("n"))
+    if size <= 3:
+        summed = summed.where(F.col("n") >= LEAST)
     return summed.mapInArrow(named, "key long, context long, suffix long, n long")
 
 
-def _level(counted: DataFrame, shorter: DataFrame, corpus: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes of the contexts of counted runs: the test of ``_nodes``, on tables.
+def _level(
+    counted: DataFrame, totals: DataFrame, shorter: DataFrame, corpus: int
+) -> tuple[DataFrame, DataFrame]:
+    """Nodes of the contexts of counted runs, (context, total) given in ``totals``.
 
-    Gives the runs, (key, n, log, value), where ``log`` is the log10 probability of the last word
-    after the others and ``value`` is what the run adds to it, null where its context is not kept;
-    and the kept nodes, (context, total, rest).
+    Gives the runs, (key, n, log, value, open), where ``log`` is the log10 probability of the last
+    word after the others and ``value`` is what the run adds to it, null where its context is not
+    kept; and the kept nodes, (context, total, rest, open). A kept context with more than one
+    follower is open, and so are its runs.
     """
+    parents = shorter.where("open").select(F.col("key").alias("suffix"), F.col("log").alias("parent"))
     rows = scratch.materialise(
-        counted.join(shorter.select(F.col("key").alias("suffix"), F.col("log").alias("parent")), "suffix")
-        .join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
-        .select("key", "context", "n", "total", "parent", ((F.col("n") - DISCOUNT) / F.col("total")).alias("share"))
+        counted.where(F.col("n") >= LEAST)
+        .join(parents, "suffix")
+        .join(totals, "context")
+        .select("key", "context", "n", "total", "parent")
     )
-    share, parent = F.col("share"), F.col("parent")
+    share, parent = (F.col("n") - DISCOUNT) / F.col("total"), F.col("parent")
     between = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1.0))
     # Rounded, so that the order of the sums does not show.
     nodes = (
         rows.groupBy("context")
         .agg(
-            F.first("total").alias("total"),
+            F.max("total").alias("total"),
+            F.max("n").alias("most"),
             F.count("*").alias("listed"),
             between(F.round(1 - F.sum(share), 12)).alias("left"),
             between(F.round(1 - F.sum(F.pow(F.lit(10.0), parent)), 12)).alias("over"),
@@ -364,19 +292,26 @@ def _level(counted: DataFrame, shorter: DataFrame, corpus: int) -> tuple[DataFra
         .withColumn("gain", F.round(F.col("gain") + F.col("left") * F.col("rest"), 9))
     )
     cost = 0.5 * float(np.log10(max(corpus, 10)))
+    several = (F.col("most") < F.col("total")).alias("open")
     nodes = scratch.materialise(
-        nodes.where(F.col("total") * F.col("gain") > cost * F.col("listed")).select("context", "total", "rest")
+        nodes.where(F.col("total") * F.col("gain") > cost * F.col("listed")).select(
+            "context", "total", "rest", several
+        )
     )
     log = F.when(F.col("rest").isNull(), parent).otherwise(F.log10(share))
     found = rows.join(nodes.drop("total"), "context", "left").select(
-        "key", "n", log.alias("log"), (log - parent - F.col("rest")).alias("value")
+        "key",
+        "n",
+        log.alias("log"),
+        (log - parent - F.col("rest")).alias("value"),
+        F.coalesce("open", F.lit(False)).alias("open"),
     )
     found = scratch.materialise(found)
     scratch.discard(rows)
     return found, nodes
 
 
-def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, size: float) -> tuple[DataFrame, int]:
+def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, base: float) -> tuple[DataFrame, int]:
     """The tree as (key, n, often, value): the count of words, how often a run occurs, and what it
     adds to the scores of the root; and how many words the longest runs have."""
     send = texts.sparkSession.sparkContext.broadcast
@@ -386,21 +321,39 @@ def _grow(texts: DataFrame, vocabulary: DataFrame, corpus: int, size: float) ->
     none = F.lit(0)
     stored = [vocabulary]
     values = row(vocabulary, "key", F.col("n"), F.col("n"), F.lit(0.0))
-    shorter = vocabulary.where(F.col("n") >= LEAST).withColumn("log", F.log10(F.col("n") + 1) - size)
-    for length in range(2, CONTEXT + 2):
-        shared = send(_sieve(shorter))
-        shorter, nodes = _level(_count_runs(texts, length, shared), shorter, corpus)
+    shorter = vocabulary.where(F.col("n") >= LEAST).withColumn("log", F.log10(F.col("n") + 1) - base)
+    shorter = shorter.withColumn("open", F.lit(True))
+    nodes, longest, size = None, 1, 2
+    while True:
+        contexts = shorter if size <= 3 else nodes.where("open").select(F.col("context").alias("key"))
+        # Longer contexts are not in a table, so that their hashes could pass for numbers.
+        often = _often(shorter if size <= 3 else shorter.limit(0), corpus)
+        shared = send(Shorter(_sieve(contexts), _sieve(shorter.where("open")), often))
+        counted = _count_runs(texts, size, shared)
+        if size <= 3:
+            totals = shorter.select(F.col("key").alias("context"), F.col("n").alias("total"))
+        else:
+            counted = scratch.materialise(counted)
+            totals = counted.groupBy("context").agg(F.sum("n").alias("total"))
+        shorter, nodes = _level(counted, totals, shorter, corpus)
         shared.destroy()
+        scratch.discard(*([counted] if size > 3 else []))
         stored += [shorter, nodes]
+        if nodes.isEmpty():
+            break
+        longest = size
         kept = row(shorter.where("value is not null"), "key", none, F.col("n"), F.col("value"))
         values = values.union(kept).union(row(nodes, "context", none, F.col("total"), F.col("rest")))
+        if nodes.where("open").isEmpty():
+            break
+        size += 1
     # A run has one value of its own and one as a context at most, so the sum has no order.
     tree = values.groupBy("key").agg(
         F.sum("n").alias("n"), F.max("often").alias("often"), F.sum("value").alias("value")
     )
     tree = scratch.materialise(tree)
     scratch.discard(*stored)
-    return tree, length
+    return tree, longest
 
 
 @dataclass
