@@ -87,6 +87,8 @@ def suffix_nodes(texts, discount=0.5):
             total = sum(found.values())
             share = {w: (k - discount) / total for w, k in found.items() if k >= 2}
             parent = {w: log(context[1:], w) for w in share}
+            share = {w: s for w, s in share.items() if total * s * (math.log10(s) - parent[w]) > cost}
+            parent = {w: parent[w] for w in share}
             left = max(1 - sum(share.values()), 1e-9)
             rest = math.log10(left / max(1 - sum(10**p for p in parent.values()), 1e-9))
             gain = sum(s * (math.log10(s) - parent[w]) for w, s in share.items()) + left * rest

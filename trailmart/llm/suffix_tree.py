@@ -2,16 +2,18 @@
 
 Symbols are the words of a text and one end. Counts of all training words give the root of the
 tree, an add-one distribution that also covers unknown words. A node is a context of one or more
-words before a symbol. It lists the words that follow it more than once, with discounted
-frequencies, and leaves the rest of its mass to its parent, so every node is a distribution. A node
-is kept if the corpus is described better with it: its divergence from its parent, times how often
-it occurs, must exceed half the logarithm of the corpus size for each word that it lists. A symbol
-is scored by the longest context that was kept.
-
-A follower seen once never repays that: its parent gives it at least two in the size of the corpus
-and its words. The tree grows by one word at a time, without a limit, until no kept context can
-have a longer one. A longer context is tried below a kept one that has several followers; below
-one that is always followed by the same symbol, longer ones say the same and would not be kept.
+words before a symbol. It lists the symbols whose own part of its divergence from its parent, times
+how often it occurs, exceeds half the logarithm of the corpus size, with discounted frequencies,
+and leaves the rest of its mass to its parent, so every node is a distribution. A node is kept if
+its whole divergence repays all that it lists. A symbol is scored by the longest context that was
+kept.
+
+A follower seen once never repays its place: its parent gives it at least two in the size of the
+corpus and its words. The tree grows by one word at a time, without a limit, until no kept context
+can have a longer one. A longer context is tried below a kept one that has several followers;
+below one that is always followed by the same symbol, longer ones say the same and would not be
+kept. A follower that could not repay its place below a context even if it always followed is not
+counted there.
 
 Every word, context and listed follower that occurs ``LEAST`` times counts, however large the
 corpus is, so all of them stay tables. The logarithm of a symbol's probability is a sum over the
@@ -51,6 +53,8 @@ DISCOUNT = 0.5
 BUCKET_TOKENS = 1_500_000
 END = np.uint64(0x3C6EF372FE94F82A)
 
+#: Spark's setting to delete the files of a query's shuffles when it ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -251,7 +255,8 @@ def _count_runs(texts: DataFrame, size: int, shared) -> DataFrame:
             )
 
     # A run is known by its context and what follows its first word, which saves the key's place.
-    made = texts.mapInArrow(run, "context long, suffix long, n long")
+    # Summed up in the tasks already, so rows are dealt before Spark sums them.
+    made = texts.mapInArrow(run, "context long, suffix long, n long").repartition("context", "suffix")
     summed = made.groupBy("context", "suffix").agg(F.sum("n").alias("n"))
     if size <= 3:
         summed = summed.where(F.col("n") >= LEAST)
@@ -265,8 +270,8 @@ def _level(
 
     Gives the runs, (key, n, log, value, open), where ``log`` is the log10 probability of the last
     word after the others and ``value`` is what the run adds to it, null where its context is not
-    kept; and the kept nodes, (context, total, rest, open). A kept context with more than one
-    follower is open, and so are its runs.
+    kept or does not list it; and the kept nodes, (context, total, rest, open). A kept context with
+    more than one follower is open, and so are its runs that could repay a place below it.
     """
     parents = shorter.where("open").select(F.col("key").alias("suffix"), F.col("log").alias("parent"))
     rows = scratch.materialise(
@@ -278,8 +283,11 @@ def _level(
     share, parent = (F.col("n") - DISCOUNT) / F.col("total"), F.col("parent")
     between = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1.0))
     # Rounded, so that the order of the sums does not show.
+    cost = 0.5 * float(np.log10(max(corpus, 10)))
+    pays = (F.col("n") - DISCOUNT) * (F.log10(share) - parent) > cost
     nodes = (
-        rows.groupBy("context")
+        rows.where(pays)
+        .groupBy("context")
         .agg(
             F.max("total").alias("total"),
             F.max("n").alias("most"),
@@ -291,20 +299,21 @@ def _level(
         .withColumn("rest", F.round(F.log10(F.col("left") / F.col("over")), 9))
         .withColumn("gain", F.round(F.col("gain") + F.col("left") * F.col("rest"), 9))
     )
-    cost = 0.5 * float(np.log10(max(corpus, 10)))
     several = (F.col("most") < F.col("total")).alias("open")
     nodes = scratch.materialise(
         nodes.where(F.col("total") * F.col("gain") > cost * F.col("listed")).select(
             "context", "total", "rest", several
         )
     )
-    log = F.when(F.col("rest").isNull(), parent).otherwise(F.log10(share))
+    rest = F.coalesce("rest", F.lit(0.0))
+    listed = F.col("rest").isNotNull() & pays
+    log = F.when(listed, F.log10(share)).otherwise(parent + rest)
     found = rows.join(nodes.drop("total"), "context", "left").select(
         "key",
         "n",
         log.alias("log"),
-        (log - parent - F.col("rest")).alias("value"),
-        F.coalesce("open", F.lit(False)).alias("open"),
+        F.when(listed, log - parent - rest).alias("value"),
+        (F.coalesce("open", F.lit(False)) & ((F.col("n") - DISCOUNT) * -log > cost)).alias("open"),
     )
     found = scratch.materialise(found)
     scratch.discard(rows)
@@ -584,7 +593,13 @@ def score(
     corpus, distinct = vocabulary.agg(F.sum("n"), F.count("*")).first()
     corpus = corpus or 0
     size = float(np.log10(corpus + distinct + 1))
-    tree, longest = _grow(texts, vocabulary, corpus, size)
+    # The tables of the tree are written level by level; what was shuffled for one is not kept.
+    cleaned = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        tree, longest = _grow(texts, vocabulary, corpus, size)
+    finally:
+        spark.conf.set(_CLEAN, cleaned)
 
     bits = max(3, (int(corpus) // BUCKET_TOKENS).bit_length())
     shared = spark.sparkContext.broadcast(_hot(tree, corpus, size, longest))
