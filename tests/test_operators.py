@@ -166,6 +166,20 @@ def test_adaptive_execution_splits_a_hot_key(spark, conf):
     assert "skew=true" in plan_of(joined)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookups_are_repeated_only_where_spark_splits_no_keys(spark, conf, how):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    facts = hot_facts(spark, 6000)
+    lookup = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    plain = tuples(joins.lookup_join(facts, lookup, ["k"], how))
+    for adaptive, skew, repeated in (("true", "true", False), ("true", "false", True), ("false", "true", True)):
+        conf("spark.sql.adaptive.enabled", adaptive)
+        conf("spark.sql.adaptive.skewJoin.enabled", skew)
+        salted = joins.lookup_join(facts, lookup, ["k"], how, salts=7, spread_by=["id"])
+        assert tuples(salted) == plain
+        assert ("Generate explode" in plan_of(salted)) == repeated
+
+
 def test_other_joins_are_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):

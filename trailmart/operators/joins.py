@@ -18,13 +18,16 @@ def lookup_join(
 
     No broadcast is forced: Spark broadcasts the lookup when its size, estimated or measured at
     run time, is under the session's threshold, and otherwise splits skewed keys of a sort-merge
-    join (adaptive execution). Where adaptive execution is off, ``salts`` > 1 spreads each key
-    over that many tasks by a hash of ``spread_by`` and repeats the lookup as often. The hash
-    depends on row values only, so a task that runs again sends its rows to the same place.
+    join (adaptive execution), which repeats the lookup rows of those keys only. Where the session
+    has that off, ``salts`` > 1 spreads each key over that many tasks by a hash of ``spread_by`` and
+    repeats the whole lookup as often. The hash depends on row values only, so a task that runs
+    again sends its rows to the same place.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup join is left or inner")
-    if salts <= 1:
+    conf = facts.sparkSession.conf
+    splits = all(conf.get(f"spark.sql.adaptive.{x}").lower() == "true" for x in ("enabled", "skewJoin.enabled"))
+    if salts <= 1 or splits:
         return facts.join(lookup, list(on), how)
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
