@@ -219,6 +219,32 @@ def test_similar_places(spark, block_rows):
     assert {s: sorted(v) for s, v in got.items()} == {s: sorted(v) for s, v in want.items()}
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e160])
+def test_similar_places_that_single_precision_cannot_tell_apart(spark, scale):
+    rng = np.random.default_rng(5)
+    middle = rng.normal(size=8)
+    vectors = {f"p{i:03}": ((middle + 1e-7 * rng.normal(size=8)) * scale).tolist() for i in range(150)}
+    vectors |= {f"copy{i}": vectors["p003"] for i in range(30)}
+    items = spark.createDataFrame(list(vectors.items()), "ml_mapping_id string, embedding array<double>")
+    want = brute_force({c: np.array(v) / scale for c, v in vectors.items()}, vectors, 5)
+    for rows in (1000, 16):
+        got = defaultdict(list)
+        for r in scores.similar_places(items, items, 5, rows).collect():
+            got[r.ml_mapping_id].append((r.cid, r.score))
+        if scale > 1:  # the product of two lengths is not finite
+            assert not any(s for v in got.values() for _, s in v)
+        else:
+            assert {s: sorted(v) for s, v in got.items()} == {s: sorted(v) for s, v in want.items()}
+
+
+def test_similar_places_deals_block_pairs(spark):
+    items = spark.createDataFrame([(f"p{i}", [float(i), 1.0]) for i in range(400)], "ml_mapping_id string, embedding array<double>")
+    near = scores.similar_places(items, items, 5, block_rows=4)
+    # 25 blocks of 16 rows a side, not 100 of 4, and partitions that are not put together.
+    assert plan_of(near).count(", 1250), REPARTITION_BY_NUM") >= 2
+    assert near.count() == 2000
+
+
 def test_similar_places_with_few_items(spark):
     items = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 1.0])], "ml_mapping_id string, embedding array<float>")
     got = scores.similar_places(items, items)

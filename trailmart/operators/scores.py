@@ -18,6 +18,11 @@ from trailmart.sources import files as sources
 
 Scorer = Callable[[str, str, int], list[dict[str, float]]]
 
+#: Seeds that are compared with a block of items at once.
+_SLAB = 128
+#: Partitions for block pairs; beyond them, several pairs share one.
+_MOST_PARTS = 8192
+
 
 def score_members(
     pairs: DataFrame,
@@ -106,6 +111,103 @@ def fixed_scorer(answer: Sequence[dict[str, float]]) -> Scorer:
     return scorer
 
 
+def _directed(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that have a direction, and the lengths of all: none if zero or not finite."""
+    lengths = np.linalg.norm(vectors, axis=1)
+    return np.flatnonzero((lengths > 0) & np.isfinite(vectors).all(axis=1)), lengths
+
+
+def _rough_cosines(a, a_length, b, b_length) -> tuple[Callable[[slice], np.ndarray], float]:
+    """A function that gives the cosines of some rows of ``a`` with all of ``b``, and by how much they
+    may be off. Lengths whose product may overflow or vanish take the slow way."""
+    lengths = np.concatenate([a_length, b_length])
+    if len(lengths) and lengths.min() > 1e-150 and lengths.max() < 1e150:
+        a32, b32 = ((x / n[:, None]).astype(np.float32) for x, n in ((a, a_length), (b, b_length)))
+        # Rounding of the two directions and of a sum of as many products as there are dimensions.
+        return lambda part: a32[part] @ b32.T, 1.2 * (a.shape[1] + 8) * 2.0**-24
+
+    def exact(part: slice) -> np.ndarray:
+        out = _cosines(a[part] @ b.T, np.outer(a_length[part], b_length))
+        return np.where(np.isfinite(out), out, -np.inf)
+
+    return exact, 1e-9
+
+
+def _cosines(products: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out = np.full(products.shape, -np.inf)
+    return np.divide(products, lengths, out=out, where=lengths > 0)
+
+
+def _best_of_block(seed_rows: pd.DataFrame, item_rows: pd.DataFrame, top_k: int) -> pd.DataFrame:
+    """The best ``top_k`` items of a block per row of seeds.
+
+    One matrix product in single precision tells which items may be among the best; its error is
+    bounded, so none of them is missed. Only their scores are computed in double precision.
+    """
+    found = {"ml_mapping_id": [], "cid": [], "score": []}
+    empty = pd.DataFrame(found, dtype=object)
+    if seed_rows.empty or item_rows.empty:
+        return empty
+    # Items in cid order, so that a smaller position is a smaller cid.
+    item_rows = item_rows.sort_values("cid")
+    cids = item_rows["cid"].to_numpy()
+    b = np.stack(item_rows["embedding"].to_numpy()).astype(np.float64)
+    some, b_length = _directed(b)
+    times = pd.Series(cids[some]).value_counts(dropna=False)
+    if not len(times):
+        return empty
+    # Of equal vectors only the first can be near a seed, and those of the seed itself are no items.
+    most = int(times.iloc[0])
+    whole = np.ascontiguousarray(b[some]).view(np.dtype((np.void, b.shape[1] * b.itemsize)))[:, 0]
+    place = pd.Series(np.unique(whole, return_inverse=True)[1])
+    some = some[(place.groupby(place).cumcount() < top_k + most).to_numpy()]
+    cids, b, b_length = cids[some], b[some], b_length[some]
+    a = np.stack(seed_rows["direction"].to_numpy()).astype(np.float64)
+    some, a_length = _directed(a)
+    seeds, a, a_length = seed_rows["seed"].to_numpy()[some], a[some], a_length[some]
+    # Where the items of an id begin and end: they lie together.
+    codes, names = pd.factorize(cids)
+    begin, end = (np.searchsorted(codes[codes >= 0], np.arange(len(names)), side) for side in ("left", "right"))
+    own = pd.Index(names).get_indexer(seeds)
+    rough, error = _rough_cosines(a, a_length, b, b_length)
+    keep, groups = min(top_k, len(cids)), min(512, len(cids))
+    piece = max(1, (1 << 22) // b.shape[1])
+    for start in range(0, len(seeds), _SLAB):
+        part = slice(start, start + _SLAB)
+        cosines = rough(part)
+        # A place is not its own neighbour.
+        has = np.flatnonzero(own[part] >= 0)
+        first, last = begin[own[part][has]], end[own[part][has]]
+        for n in range(most):
+            same = first + n < last
+            cosines[has[same], first[same] + n] = -np.inf
+        # The best of each of many groups of items: as many items are at least as near as the last kept.
+        of_group = cosines[:, : len(cids) // groups * groups].reshape(len(cosines), -1, groups).max(axis=1)
+        if keep > groups:
+            of_group = cosines
+        edge = np.partition(of_group, -keep, axis=1)[:, -keep, None].astype(np.float64)
+        edge = (edge - 2 * error - 1e-8).astype(cosines.dtype)
+        near = np.flatnonzero((cosines >= edge) & (cosines > -np.inf))
+        row, item = np.divmod(near, len(cids))
+        scores = np.empty(len(near))
+        for lo in range(0, len(near), piece):
+            r, i = row[lo : lo + piece] + start, item[lo : lo + piece]
+            products, lengths = np.einsum("ij,ij->i", a[r], b[i]), a_length[r] * b_length[i]
+            scores[lo : lo + piece] = np.round(_cosines(products, lengths), 9)
+        # Vectors that overflow have no direction either.
+        finite = np.isfinite(scores)
+        row, item, scores = row[finite], item[finite], scores[finite]
+        order = np.lexsort((item, -scores, row))
+        row, item, scores = row[order], item[order], scores[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < top_k
+        found["ml_mapping_id"].append(seeds[row[best] + start])
+        found["cid"].append(cids[item[best]])
+        found["score"].append(scores[best])
+    if not len(seeds):
+        return empty
+    return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
+
+
 def similar_places(
     seeds: DataFrame,
     items: DataFrame,
@@ -121,11 +223,12 @@ def similar_places(
     holds a NULL has no neighbours, nor has one that is zero or not finite; vectors of different
     lengths are not compared.
 
-    Items and seeds are cut into hash blocks of about ``block_rows``, each side by its own number
-    of rows, so few seeds do not copy the items. Every block pair is one matrix product that lets
-    only its best ``top_k`` per seed out, so neither all pairs nor a whole side ever meet in one
-    task. Scores are rounded to nine digits before ranking and ties go to the smaller cid, so the
-    order does not depend on how vectors are blocked.
+    Items and seeds are cut into hash blocks of ``block_rows`` to four times as many, each side by
+    its own number of rows, so few seeds do not copy the items and many rows are not copied to ever
+    more blocks of one size. Every block pair is a partition of its own as far as hashes allow, and
+    lets only its best ``top_k`` per seed out, so neither all pairs nor a whole side ever meet in
+    one task. Scores are rounded to nine digits before ranking and ties go to the smaller cid, so
+    the order does not depend on how vectors are blocked.
     """
     if item_count is None:
         item_count = items.count()
@@ -134,7 +237,8 @@ def similar_places(
         seed_count = chosen.count()
 
     def blocks(rows: int) -> int:
-        return max(1, math.ceil(rows / block_rows))
+        most = min(4 * block_rows, max(block_rows, math.isqrt(rows * block_rows)))
+        return max(1, math.ceil(rows / most))
 
     def block_of(rows: int):
         return F.pmod(F.xxhash64("ml_mapping_id"), F.lit(blocks(rows)))
@@ -159,45 +263,18 @@ def similar_places(
         F.col("ml_mapping_id").alias("cid"),
         "embedding",
     )
-    slab = 256
 
     def best_of_block(seed_rows: pd.DataFrame, item_rows: pd.DataFrame) -> pd.DataFrame:
-        if seed_rows.empty or item_rows.empty:
-            return pd.DataFrame({"ml_mapping_id": [], "cid": [], "score": []}, dtype=object)
-        # Items in cid order, so that a smaller position is a smaller cid.
-        item_rows = item_rows.sort_values("cid")
-        cids = item_rows["cid"].to_numpy()
-        b = np.stack(item_rows["embedding"].to_numpy()).astype(np.float64)
-        b_length = np.linalg.norm(b, axis=1)
-        found = {"ml_mapping_id": [], "cid": [], "score": []}
-        for start in range(0, len(seed_rows), slab):
-            part = seed_rows.iloc[start : start + slab]
-            seeds = part["seed"].to_numpy()
-            a = np.stack(part["direction"].to_numpy()).astype(np.float64)
-            lengths = np.outer(np.linalg.norm(a, axis=1), b_length)
-            # A zero vector has no direction and a place is not its own neighbour.
-            usable = (lengths > 0) & (seeds[:, None] != cids[None, :])
-            cosines = np.full(lengths.shape, -np.inf)
-            np.divide(a @ b.T, lengths, out=cosines, where=usable)
-            # Vectors that are not finite or overflow have no direction either.
-            cosines = np.where(np.isfinite(cosines), np.round(cosines, 9), -np.inf)
-            keep = min(top_k, len(cids))
-            edge = np.partition(cosines, -keep, axis=1)[:, -keep, None]
-            row, item = np.nonzero((cosines >= edge) & np.isfinite(cosines))
-            order = np.lexsort((item, -cosines[row, item], row))
-            row, item = row[order], item[order]
-            # Ties at the edge may leave more than top_k of a seed.
-            best = np.arange(len(row)) - np.searchsorted(row, row) < top_k
-            row, item = row[best], item[best]
-            found["ml_mapping_id"].append(seeds[row])
-            found["cid"].append(cids[item])
-            found["score"].append(cosines[row, item])
-        return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
+        with np.errstate(all="ignore"):
+            return _best_of_block(seed_rows, item_rows, top_k)
 
     keys = ["seed_block", "item_block", "width"]
+    # A number of partitions that adaptive execution leaves alone: few bytes here are much work.
+    parts = min(2 * blocks(seed_count) * blocks(item_count), _MOST_PARTS)
     best = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
+        left.repartition(parts, *keys)
+        .groupBy(*keys)
+        .cogroup(right.repartition(parts, *keys).groupBy(*keys))
         .applyInPandas(best_of_block, "ml_mapping_id string, cid string, score double")
     )
     # At most top_k rows per seed and item block are left here.
