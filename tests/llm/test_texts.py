@@ -236,6 +236,49 @@ def test_the_tree_keeps_rare_contexts_however_large_the_corpus_is(spark, monkeyp
     assert found == _plain_scores(rows, rows)
 
 
+def test_contexts_of_many_words_are_counted_ahead(spark):
+    draw = np.random.default_rng(7)
+    rows = []
+    for k in range(80):
+        own = []
+        for _ in range(60):
+            own += ["a"] * int(draw.choice([11, draw.integers(1, 11)], p=[0.8, 0.2])) + ["b"]
+        rows.append((k, " ".join(own)))
+    nodes, _, _ = suffix_nodes([t for _, t in rows])
+    assert max(map(len, nodes)) > suffix_tree.AHEAD + 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score(docs, F.lit(False)).collect())
+    assert found == _plain_scores(rows, rows)
+
+
+@pytest.mark.parametrize("most", [1 << 20, 8])
+def test_runs_leave_a_task_in_few_bytes_and_are_counted_whole(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_tree, "MAX_WORDS", most)
+    monkeypatch.setattr(suffix_tree, "HELD_RUNS", 20_000)
+    draw = np.random.default_rng(3)
+    weights = 1 / np.arange(1, 2001)
+    texts = [" ".join(f"w{x}" for x in draw.choice(2000, 500, p=weights / weights.sum())) for _ in range(100)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    words_ = suffix_tree._counts(docs, lambda t, b: t.view(np.int64)).cache()
+    often = spark.sparkContext.broadcast(suffix_tree._often(words_, 50_100))
+    for size in (2, 3):
+        every = np.full(1 << (suffix_tree.SIEVE_BITS - 3), 255, np.uint8)
+        shared = spark.sparkContext.broadcast(suffix_tree.Shorter(every, every))
+        runs = suffix_tree._count_runs(docs, size, shared, often, 3)
+        count = Counter(
+            tuple(own[k : k + size])
+            for own in ([*words(t), None] for t in texts)
+            for k in range(len(own) - size + 1)
+        )
+        found = runs.collect()
+        assert Counter(r["n"] for r in found) == Counter(n for n in count.values() if n > 1)
+        assert len({r["key"] for r in found}) == len(found)
+        if most > 8:
+            made = docs.mapInArrow(suffix_tree._packed_runs(size, shared, often, 3), suffix_tree._RUNS)
+            sent = made.selectExpr("sum(octet_length(contexts) + octet_length(times)) n").first()["n"]
+            assert sent < 8 * len(count)
+
+
 def test_scores_of_empty_tables(no_docs, odd_docs):
     assert suffix_tree.score(no_docs, F.lit(False)).count() == 0
     rows = suffix_tree.score(odd_docs, F.lit(True)).collect()
