@@ -279,6 +279,39 @@ def test_runs_leave_a_task_in_few_bytes_and_are_counted_whole(spark, monkeypatch
             assert sent < 8 * len(count)
 
 
+def test_tree_and_rare_runs_are_shuffled_in_few_bytes(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "MAX_WORDS", 16)  # so that all runs are rare
+    draw = np.random.default_rng(9)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 3000, 100)) for _ in range(600)]
+    docs = spark.createDataFrame([(k, False, t) for k, t in enumerate(texts)], "id long, held_out boolean, text string")
+    docs = docs.repartition(2)
+    own = docs.select("text")
+    counted = suffix_tree._counts(own, lambda t, b: t.view(np.int64)).cache()
+    n = counted.count()
+    assert n == len({w for t in texts for w in t.split()}) + 1
+    tree, longest, bits = suffix_tree._grow(own, counted, 60_600, np.log10(60_601 + n), 3)
+    # 20 bytes a row before: key, count and value, one row each.
+    sent = tree.where("bucket >= 0 and times is not null").selectExpr("sum(octet_length(keys) + octet_length(times)) b", "sum(rows) n").first()
+    assert sent["b"] < 10 * sent["n"]
+    shared = spark.sparkContext.broadcast(suffix_tree._hot(tree, np.log10(60_601 + n), longest))
+    dealt = docs.mapInArrow(suffix_tree._deal(shared, bits), suffix_tree._DEALT)
+    # 8 bytes of hash, 4 of times and 12 of text before.
+    sent = dealt.selectExpr("sum(octet_length(keys) + octet_length(texts)) b", "sum(rows) n").first()
+    assert sent["n"] >= 60_000 and sent["b"] < 7 * sent["n"]
+
+
+def test_sieves_have_a_bit_for_each_key(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "SIEVE_BITS", 15)
+    monkeypatch.setattr(suffix_tree, "HELD_RUNS", 500)
+    keys = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 3000)
+    table = spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(3)
+    bits = suffix_tree._sieve(table)
+    assert np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == sorted(
+        set((keys.view(np.uint64) >> np.uint64(49)).tolist())
+    )
+    assert not suffix_tree._sieve(table.limit(0)).any()
+
+
 def test_scores_of_empty_tables(no_docs, odd_docs):
     assert suffix_tree.score(no_docs, F.lit(False)).count() == 0
     rows = suffix_tree.score(odd_docs, F.lit(True)).collect()
